@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textmill.functions.lambdas import let
+
 
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
@@ -13,19 +15,26 @@ def mean(values: Column) -> Column:
 
 
 def population_std(values: Column) -> Column:
-    centre = mean(values)
-    return F.sqrt(_total(F.transform(values, lambda x: (x - centre) * (x - centre))) / F.size(values))
+    return let(
+        mean(values),
+        lambda m: F.sqrt(
+            _total(F.transform(values, lambda x: (x - m) * (x - m))) / F.size(values)
+        ),
+    )
 
 
 def standardize(values: Column, eps: float = 1e-6) -> Column:
     """(x - mean) / (std + eps) within one vector."""
-    return F.transform(values, lambda x: (x - mean(values)) / (population_std(values) + eps))
+    facts = F.struct(mean(values).alias("mean"), population_std(values).alias("std"))
+    return let(
+        facts, lambda f: F.transform(values, lambda x: (x - f["mean"]) / (f["std"] + eps))
+    )
 
 
 def rms_scale(values: Column, eps: float = 1e-6) -> Column:
     """x / sqrt(mean(x^2) + eps) within one vector."""
     power = _total(F.transform(values, lambda x: x * x)) / F.size(values)
-    return F.transform(values, lambda x: x / F.sqrt(power + eps))
+    return let(F.sqrt(power + eps), lambda r: F.transform(values, lambda x: x / r))
 
 
 def dot(a: Column, b: Column) -> Column:

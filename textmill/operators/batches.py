@@ -49,8 +49,9 @@ def get_batch(numbered: DataFrame, index: int) -> DataFrame:
 def gather(numbered: DataFrame, columns: list[str]) -> DataFrame:
     """One row per batch with its rows as parallel arrays, in order."""
     rows = F.array_sort(F.collect_list(F.struct("place", *columns)))
+    # naming a field of an array of structs gives the array of that field
     return numbered.groupBy("batch_id").agg(rows.alias("rows")).select(
-        "batch_id", *[F.transform("rows", lambda r, c=c: r[c]).alias(c) for c in columns]
+        "batch_id", *[F.col(f"rows.{c}").alias(c) for c in columns]
     )
 
 

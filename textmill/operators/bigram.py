@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import tokens
 from textmill.functions.hashing import uniform
+from textmill.functions.lambdas import let
 from textmill.operators.joins import lookup_join
 from textmill.sources.storage import cut_lineage, fits
 
@@ -315,8 +316,8 @@ def _advance(state: DataFrame, key: str, chosen: Column) -> DataFrame:
 
 def _first_above(point: Column) -> Column:
     """The continuation whose running weight first exceeds the point (else the last one)."""
-    above = F.filter("options", lambda o: o["cum"] > point)
-    return F.coalesce(F.get(above, 0)["next"], F.element_at("options", -1)["next"])
+    above = let(point, lambda p: F.filter("options", lambda o: o["cum"] > p))
+    return F.coalesce(F.get(above, F.lit(0))["next"], F.element_at("options", -1)["next"])
 
 
 def sample(

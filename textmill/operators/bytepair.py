@@ -170,17 +170,13 @@ def apply_merges(symbols: Column, merges: Sequence[Merge]) -> Column:
         return symbols
     if len(merges) <= 8:
         return reduce(lambda s, m: apply_merge(s, m.left, m.right, m.new_id), merges, symbols)
-    triples = tokens.lookup(
-        [
-            (tokens.id_to_char(m.left) + tokens.id_to_char(m.right) + tokens.id_to_char(m.new_id))
-            .encode("utf-8")
-            .hex()
-            for m in merges
-        ]
-    )
-    text = F.transform(triples, lambda h: F.decode(F.unhex(h), "UTF-8"))
+    triples = [
+        "".join(tokens.id_to_char(i) for i in (m.left, m.right, m.new_id)) for m in merges
+    ]
+    # one literal, which the optimizer splits once
+    table = F.split(F.lit(_SEPARATOR.join(triples)), _SEPARATOR)
     return F.aggregate(
-        text,
+        table,
         symbols,
         lambda acc, t: F.replace(acc, F.substring(t, 1, 2), F.substring(t, 3, 1)),
     )

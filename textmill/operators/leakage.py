@@ -3,6 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions.lambdas import let
+from textmill.operators.joins import lookup_join
+
 
 def shared_values(train: DataFrame, validation: DataFrame, column: str) -> DataFrame:
     """One row: whether the two sides share values, how many distinct ones, and a message."""
@@ -17,10 +20,20 @@ def shared_values(train: DataFrame, validation: DataFrame, column: str) -> DataF
 
 
 def runs(ids: Column, length: int) -> Column:
-    """The distinct runs of ``length`` tokens in an array."""
+    """The distinct runs of ``length`` tokens in an array, each written as text.
+
+    Text compares and hashes as one value; sets of arrays would be compared pair by pair.
+    """
     count = F.size(ids) - length + 1
     starts = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.slice(ids, i, F.lit(length))))
+    return F.array_distinct(
+        let(
+            ids.cast("array<string>"),
+            lambda words: F.transform(
+                starts, lambda i: F.array_join(F.slice(words, i, F.lit(length)), " ")
+            ),
+        )
+    )
 
 
 def shared_runs(

@@ -15,9 +15,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textmill.functions.hashing import uniform
+from textmill.sources.storage import cut_lineage, fits
 
 _BUCKET = "__bucket"
 _KEY = "__key"
+_BROADCAST_ROWS = 1_000_000
 
 
 def _bucket_total(df: DataFrame) -> int:
@@ -114,6 +116,17 @@ def ordered_rank(
     return ranked.withColumn(out, F.col(out).cast("long"))
 
 
+def rejoin(df: DataFrame, narrow: DataFrame, key: str) -> DataFrame:
+    """Join a computed narrow table back to the wide rows it was computed from.
+
+    The narrow table is written first, so its row count is known and the expressions below
+    it run once. Only a table of few rows is broadcast; then the wide rows do not move.
+    """
+    written = cut_lineage(narrow, "narrow")
+    small = fits(written, _BROADCAST_ROWS)
+    return df.join(F.broadcast(written) if small else written, key)
+
+
 def hash_rank(
     df: DataFrame,
     keys: list[str],
@@ -137,17 +150,17 @@ def hash_rank(
     return ranked.withColumn(out, F.col(out).cast("long")).drop("__u")
 
 
-def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """One row with the exact median of a numeric column.
+def weighted_median(counts: DataFrame) -> DataFrame:
+    """One row with the exact median of a (value, n) table. NaN sorts last.
 
     ``median`` keeps a map of all distinct values in a single task. This ranks the value
-    counts in buckets and keeps only the one or two values at the middle. NaN sorts last.
+    counts in buckets and keeps only the one or two values at the middle.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    placed = running_total(counts, column, "n", "before")
+    placed = running_total(counts, "value", "n", "before")
     total = counts.agg(F.sum("n").alias("total")).scalar()
-    low = F.floor((total - 1) / 2)
-    high = F.floor(total / 2)
-    covers = lambda at: (F.col("before") <= at) & (at < F.col("before") + F.col("n"))
-    middle = placed.where(covers(low) | covers(high))
-    return middle.agg(F.avg(F.col(column).cast("double")).alias("median"))
+
+    def covers(place: Column) -> Column:
+        return (F.col("before") <= place) & (place < F.col("before") + F.col("n"))
+
+    middle = placed.where(covers(F.floor((total - 1) / 2)) | covers(F.floor(total / 2)))
+    return middle.agg(F.avg(F.col("value").cast("double")).alias("median"))

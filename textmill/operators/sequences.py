@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from textmill.functions import tokens
 from textmill.functions.hashing import uniform
-from textmill.operators.ranking import running_total, running_totals
+from textmill.operators.ranking import rejoin, running_total, running_totals
+from textmill.sources.storage import cut_lineage
 
 _BROADCAST_ROWS = 100_000
 
@@ -28,9 +29,14 @@ def with_block_count(df: DataFrame, length: int, ids: str = "ids") -> DataFrame:
     return df.withColumn("blocks", tokens.window_count(F.col(ids), length))
 
 
-def with_offsets(df: DataFrame, size: Column, key: str = "doc_id", out: str = "offset") -> DataFrame:
-    """Add where each row begins in the corpus stream, rows taken in key order."""
-    return running_total(df, key, size.cast("long"), out)
+def offsets(df: DataFrame, size: Column, key: str = "doc_id") -> DataFrame:
+    """(key, size, offset): where each row begins in the corpus stream, rows in key order.
+
+    Sizes are computed once and written as two numbers per row, as the passes that follow
+    would otherwise repeat the work that made the tokens.
+    """
+    sizes = cut_lineage(df.select(key, size.cast("long").alias("size")), "sizes")
+    return running_total(sizes, key, "size", "offset")
 
 
 def sample_blocks(
@@ -49,9 +55,14 @@ def sample_blocks(
     on the cell, and matched inside it. A cell is as wide as the average document's range,
     so documents cover few cells; a draw is spread evenly by construction.
     """
-    counted = with_block_count(df, length, ids).where(F.col("blocks") > 0)
-    placed = with_offsets(counted.select(key, ids, "blocks"), F.col("blocks"), key)
-    summary = counted.agg(
+    places = cut_lineage(
+        offsets(df, tokens.window_count(F.col(ids), length), key)
+        .where(F.col("size") > 0)
+        .withColumnRenamed("size", "blocks"),
+        "places",
+    )
+    placed = rejoin(df.select(key, ids), places, key)
+    summary = places.agg(
         F.sum("blocks").cast("long").alias("total"),
         F.ceil(F.avg("blocks")).cast("long").alias("cell"),
     )
@@ -116,7 +127,7 @@ def pack(
     stream = df.where(F.col(ids).isNotNull()).select(
         key, F.concat(F.col(ids), F.array(F.lit(separator))).alias("stream")
     )
-    placed = with_offsets(stream, F.size("stream"), key)
+    placed = rejoin(stream, offsets(df.where(F.col(ids).isNotNull()), F.size(ids) + 1, key), key)
     first = F.floor(F.col("offset") / length).cast("long")
     last = F.floor((F.col("offset") + F.size("stream") - 1) / length).cast("long")
     pieces = placed.withColumn("block_id", F.explode(F.sequence(first, last)))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import tokens
-from textmill.operators.ranking import hash_rank, ordered_rank, running_total
+from textmill.operators.ranking import hash_rank, ordered_rank, rejoin, running_total
+from textmill.sources.storage import cut_lineage
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
@@ -39,13 +40,12 @@ def with_train_items(
     Rows own ``items`` consecutive places of one long list in key order. Only the counts
     are shuffled; no item is ranked or moved.
     """
-    sized = df.withColumn("__items", items.cast("long"))
-    total = sized.agg(F.sum("__items").alias("n")).scalar()
+    sizes = cut_lineage(df.select(key, items.cast("long").alias("__items")), "sizes")
+    total = sizes.agg(F.sum("__items").alias("n")).scalar()
     cut = F.floor(total * train_ratio)
-    placed = running_total(sized.select(key, "__items"), key, "__items", "__offset")
+    placed = running_total(sizes, key, "__items", "__offset")
     kept = F.greatest(F.lit(0), F.least(F.col("__items"), cut - F.col("__offset")))
-    placed = placed.select(key, kept.cast("int").alias(out))
-    return df.join(placed, key)
+    return rejoin(df, placed.select(key, kept.cast("int").alias(out)), key)
 
 
 def split_windows(

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.operators.ranking import exact_median
+from textmill.operators.ranking import weighted_median
+from textmill.sources.storage import cut_lineage
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -34,20 +35,38 @@ def basic_report(counts: DataFrame, width: int = 4) -> DataFrame:
     )
 
 
+def _spread(counts: DataFrame) -> DataFrame:
+    """One row from value counts: rows, range, mean, population variance, median, distinct.
+
+    The variance takes its mean from a first pass; the difference of two large sums of
+    squares would lose digits.
+    """
+    n, v = F.col("n"), F.col("value").cast("double")
+    mean = counts.agg((F.sum(v * n) / F.sum(n)).alias("mean")).scalar()
+    return (
+        counts.withColumn("__mean", mean)
+        .agg(
+            F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+            F.min("__mean").alias("mean"),
+            (F.sum(n * (v - F.col("__mean")) * (v - F.col("__mean"))) / F.sum(n)).alias("variance"),
+            F.count("*").alias("unique_values"),
+        )
+        .withColumn("std", F.sqrt("variance"))
+        .withColumn("median", weighted_median(counts).scalar())
+    )
+
+
 def full_report(df: DataFrame, column: str) -> DataFrame:
-    """One row: count, range, mean, exact median, population deviation, distinct values."""
-    counts = value_counts(df, column)
-    median = exact_median(df, column).scalar()
-    spread = df.agg(
-        F.count(column).alias("rows"),
-        F.min(column).cast("double").alias("min"),
-        F.max(column).cast("double").alias("max"),
-        F.avg(column).alias("mean"),
-        F.stddev_pop(column).alias("std"),
-        F.var_pop(column).alias("variance"),
+    """One row: count, range, mean, exact median, population deviation, distinct values.
+
+    The data is read once, into value counts; everything else comes from those.
+    """
+    out = _spread(cut_lineage(value_counts(df, column), "counts"))
+    return out.withColumn("min", F.col("min").cast("double")).withColumn(
+        "max", F.col("max").cast("double")
     )
-    distinct = counts.agg(F.count("*").alias("n")).scalar()
-    return spread.withColumn("median", median).withColumn("unique_values", distinct)
 
 
 def approximate_report(df: DataFrame, column: str) -> DataFrame:
@@ -67,13 +86,10 @@ def approximate_report(df: DataFrame, column: str) -> DataFrame:
 def length_distribution(df: DataFrame, length: Column) -> DataFrame:
     """One row: min, max, mean, exact median and population deviation of row lengths."""
     lengths = df.select(length.cast("long").alias("length"))
-    median = exact_median(lengths, "length").scalar()
-    return lengths.agg(
-        F.min("length").alias("min_length"),
-        F.max("length").alias("max_length"),
-        F.avg("length").alias("mean_length"),
-        F.stddev_pop("length").alias("std_length"),
-    ).withColumn("median_length", median)
+    out = _spread(cut_lineage(value_counts(lengths, "length"), "counts"))
+    return out.select(
+        *[F.col(c).alias(f"{c}_length") for c in ["min", "max", "mean", "median", "std"]]
+    )
 
 
 def _side(df: DataFrame, value: str, name: str) -> DataFrame:

@@ -279,10 +279,12 @@ def softmax_lookup(t: Tables):
 
 _OPTIONS = DatasetOptions(seq_length=16)
 _LEN = _OPTIONS.seq_length
-_WINDOWS_SQL = f"""w AS MATERIALIZED (
-  SELECT ids, unnest(range(0, greatest(len(ids) - {_LEN}, 0))) AS i FROM enc),
-inputs AS (SELECT unnest(ids[i + 1 : i + {_LEN}]) AS x FROM w),
-targets AS (SELECT ids[i + {_LEN} + 1] AS x FROM w)"""
+_WINDOWS_SQL = f"""toks AS (
+  SELECT doc_id, unnest(ids) AS x0, generate_subscripts(ids, 1) AS i FROM enc),
+w AS MATERIALIZED (SELECT x0, {", ".join(f"lead(x0, {k}) OVER o AS x{k}" for k in range(1, _LEN + 1))}
+  FROM toks WINDOW o AS (PARTITION BY doc_id ORDER BY i) QUALIFY x{_LEN} IS NOT NULL),
+inputs AS ({" UNION ALL ".join(f"SELECT x{k} AS x FROM w" for k in range(_LEN))}),
+targets AS (SELECT x{_LEN} AS x FROM w)"""
 
 
 def _sql_report(name: str) -> str:

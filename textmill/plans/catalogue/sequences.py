@@ -22,13 +22,27 @@ from textmill.plans.catalogue.base import (
 _L = WINDOW
 
 
+def _sql_leads(first: int, last: int) -> str:
+    """The tokens ``first`` to ``last`` places on, joined by spaces."""
+    return "concat_ws(' ', " + ", ".join(f"x{k}" for k in range(first, last + 1)) + ")"
+
+
+def _sql_toks(last: int) -> str:
+    columns = ", ".join(f"lead(x0, {k}) OVER w AS x{k}" for k in range(1, last + 1))
+    return f"""toks AS (
+  SELECT doc_id, unnest(ids) AS x0, generate_subscripts(ids, 1) - 1 AS i FROM enc),
+leads AS (SELECT doc_id, i, x0, {columns} FROM toks WINDOW w AS (PARTITION BY doc_id ORDER BY i))"""
+
+
+_LEADS_SQL = _sql_toks(_L)
+
+
 @query(
     "seq_windows",
-    f"""WITH {SQL_ENCODED}, w AS (
-      SELECT doc_id, ids, unnest(range(0, greatest(len(ids) - {_L}, 0))) AS i FROM enc)
+    f"""WITH {SQL_ENCODED}, {_LEADS_SQL}
     SELECT doc_id, count(*) AS windows, sum({sql_digest(
-        f"i || '|' || array_to_string(ids[i + 1 : i + {_L}], ' ') || '|' || ids[i + {_L} + 1]"
-    )})::BIGINT AS digest FROM w GROUP BY doc_id""",
+        f"i || '|' || {_sql_leads(0, _L - 1)} || '|' || x{_L}"
+    )})::BIGINT AS digest FROM leads WHERE x{_L} IS NOT NULL GROUP BY doc_id""",
 )
 def seq_windows(t: Tables):
     out = sequences.windows(t.encoded, _L)
@@ -40,12 +54,10 @@ def seq_windows(t: Tables):
 
 @query(
     "seq_blocks",
-    f"""WITH {SQL_ENCODED}, w AS (
-      SELECT doc_id, ids, unnest(range(0, greatest(len(ids) - {_L}, 0))) AS i FROM enc)
+    f"""WITH {SQL_ENCODED}, {_LEADS_SQL}
     SELECT doc_id, count(*) AS blocks, sum({sql_digest(
-        f"i || '|' || array_to_string(ids[i + 1 : i + {_L}], ' ') || '|' || "
-        f"array_to_string(ids[i + 2 : i + {_L} + 1], ' ')"
-    )})::BIGINT AS digest FROM w GROUP BY doc_id""",
+        f"i || '|' || {_sql_leads(0, _L - 1)} || '|' || {_sql_leads(1, _L)}"
+    )})::BIGINT AS digest FROM leads WHERE x{_L} IS NOT NULL GROUP BY doc_id""",
 )
 def seq_blocks(t: Tables):
     out = sequences.blocks(t.encoded, _L)
@@ -109,8 +121,8 @@ _BLOCK = 256
     f"""WITH {SQL_ENCODED}, stream AS (
       SELECT doc_id, unnest(list_append(ids, (SELECT count(*) FROM vocab)::INTEGER)) AS tok,
              generate_subscripts(list_append(ids, 0), 1) AS pos FROM enc),
-    placed AS (SELECT tok, row_number() OVER (ORDER BY doc_id, pos) - 1 AS at FROM stream)
-    SELECT at // {_BLOCK} AS block_id, string_agg(tok::VARCHAR, ' ' ORDER BY at) AS tokens
+    placed AS (SELECT tok, row_number() OVER (ORDER BY doc_id, pos) - 1 AS place FROM stream)
+    SELECT place // {_BLOCK} AS block_id, string_agg(tok::VARCHAR, ' ' ORDER BY place) AS tokens
     FROM placed GROUP BY 1""",
 )
 def pack_blocks(t: Tables):
@@ -122,12 +134,12 @@ def pack_blocks(t: Tables):
 @query(
     "causal_prefix_mean",
     """SELECT event_id, user_id, round(avg(value) OVER (
-      PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING), 6) AS prefix_mean FROM events""",
+      PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING), 10) AS prefix_mean FROM events""",
 )
 def causal_prefix_mean(t: Tables):
     events = t("events").select("event_id", "user_id", "value")
     out = sequences.causal_prefix_mean(events, "user_id", "event_id", "value")
-    return out.select("event_id", "user_id", F.round("prefix_mean", 6).alias("prefix_mean"))
+    return out.select("event_id", "user_id", F.round("prefix_mean", 10).alias("prefix_mean"))
 
 
 @query(
@@ -313,11 +325,11 @@ _RUN = 24
 
 @query(
     "leakage_ngrams",
-    f"""WITH {SQL_ENCODED}, s AS (
-      SELECT doc_id, ids, row_number() OVER (ORDER BY doc_id) <=
+    f"""WITH {SQL_ENCODED}, {_sql_toks(_RUN - 1)},
+    s AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) <=
         floor((SELECT count(*) FROM enc) * 0.9::DOUBLE) AS train FROM enc),
-    g AS (SELECT DISTINCT doc_id, train, ids[i : i + {_RUN - 1}] AS run FROM (
-      SELECT *, unnest(range(1, len(ids) - {_RUN} + 2)) AS i FROM s))
+    g AS MATERIALIZED (SELECT DISTINCT doc_id, train, {_sql_leads(0, _RUN - 1)} AS run
+      FROM leads JOIN s USING (doc_id) WHERE x{_RUN - 1} IS NOT NULL)
     SELECT doc_id, count(*) AS shared FROM g
     WHERE NOT train AND run IN (SELECT run FROM g WHERE train) GROUP BY doc_id""",
 )
