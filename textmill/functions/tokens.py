@@ -64,22 +64,20 @@ def ids_to_text(ids: Column, hex_of_id: Sequence[str]) -> Column:
 
 
 def pairs_of(symbols: Column) -> Column:
-    """Overlapping neighbour pairs of a symbol string, as two-character strings."""
-    chars = F.filter(F.split(symbols, ""), lambda c: c != "")
-    return neighbours(chars, lambda a, b: F.concat(a, b))
+    """Overlapping neighbour pairs of a symbol string, as two-character strings.
 
-
-def neighbours(items: Column, combine) -> Column:
-    """``combine(item, next item)`` for each neighbouring pair of an array."""
-    n = F.size(items)
-    heads = F.slice(items, F.lit(1), F.greatest(n - 1, F.lit(0)))
-    tails = F.slice(items, F.lit(2), F.greatest(n - 1, F.lit(0)))
-    return F.zip_with(heads, tails, combine)
+    A look-ahead finds a pair at every place. It must not begin in the middle of a
+    character that Java keeps as two units, hence the class.
+    """
+    return F.regexp_extract_all(symbols, F.lit(r"(?s)(?=([^\x{DC00}-\x{DFFF}].))"), F.lit(1))
 
 
 def adjacent_pairs(ids: Column) -> Column:
     """ARRAY<STRUCT<prev, next>> of neighbouring tokens; no shuffle, no window."""
-    return neighbours(ids, lambda a, b: F.struct(a.alias("prev"), b.alias("next")))
+    count = F.greatest(F.size(ids) - 1, F.lit(0))
+    heads = F.slice(ids, F.lit(1), count).alias("prev")
+    tails = F.slice(ids, F.lit(2), count).alias("next")
+    return F.arrays_zip(heads, tails)
 
 
 # --- arrays of ids ---------------------------------------------------------------------
@@ -116,40 +114,14 @@ def window_count(ids: Column, length: int) -> Column:
     return F.greatest(F.size(ids) - length, F.lit(0))
 
 
-def _starts(count: Column) -> Column:
+def window_starts(ids: Column, length: int) -> Column:
+    """0 .. n - length - 1 as an array; empty when the row is too short."""
+    count = window_count(ids, length)
     # sequence(0, -1) counts down, so the empty case needs its own branch
     return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(
         F.array().cast("array<int>")
     )
 
 
-def next_token_windows(ids: Column, length: int) -> Column:
-    """ARRAY<STRUCT<start, input, target>>: every window of ``length`` and the token after it."""
-    return F.transform(
-        _starts(window_count(ids, length)),
-        lambda i: F.struct(
-            i.alias("start"),
-            F.slice(ids, i + 1, F.lit(length)).alias("input"),
-            F.get(ids, i + length).alias("target"),
-        ),
-    )
-
-
-def shifted_block(ids: Column, start: Column, length: int) -> Column:
-    """STRUCT<x, y>: a block and the same block moved on by one token."""
-    return F.struct(
-        F.slice(ids, start + 1, F.lit(length)).alias("x"),
-        F.slice(ids, start + 2, F.lit(length)).alias("y"),
-    )
-
-
-def shifted_blocks(ids: Column, length: int) -> Column:
-    """ARRAY<STRUCT<start, x, y>> for every start."""
-    return F.transform(
-        _starts(window_count(ids, length)),
-        lambda i: F.struct(
-            i.alias("start"),
-            F.slice(ids, i + 1, F.lit(length)).alias("x"),
-            F.slice(ids, i + 2, F.lit(length)).alias("y"),
-        ),
-    )
+def block_at(ids: Column, start: Column, length: int) -> Column:
+    return F.slice(ids, start + 1, F.lit(length))

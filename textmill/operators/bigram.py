@@ -101,46 +101,24 @@ def next_distribution(model: BigramModel, spark: SparkSession, token_id: int) ->
 # --- scoring ----------------------------------------------------------------------------
 
 
-def _joined(big: DataFrame, small: DataFrame, model: BigramModel, on: list[str], key: str) -> DataFrame:
-    if model.small:
-        return big.join(F.broadcast(small), on, "left")
-    return lookup_join(big, small, on, [key], "left")
-
-
 def log_probability(
     df: DataFrame, model: BigramModel, key: str = "doc_id", ids: str = "ids"
 ) -> DataFrame:
     """Add (transitions, log_prob) to each row.
 
     Fewer than two tokens score 0; an id outside the vocabulary scores -infinity, and so
-    does a pair with no probability when smoothing is 0. Each row's pairs are counted
-    before they meet the model, so the join sees distinct pairs per row, not tokens.
+    does a pair with no probability when smoothing is 0.
     """
     size = F.coalesce(F.size(ids), F.lit(0))
     transitions = F.greatest(size - 1, F.lit(0))
     unknown = F.coalesce(
         F.exists(ids, lambda i: (i < 0) | (i >= model.vocab_size)), F.lit(False)
     )
+    out = df.withColumn("transitions", transitions)
     if not model.fitted:
-        score = -F.lit(float(model.vocab_size)).cast("double")
         score = transitions * -F.ln(F.lit(float(model.vocab_size)))
-        out = df.withColumn("transitions", transitions)
     else:
-        counted = pairs(df, key, ids).groupBy(key, "prev", "next").agg(F.count("*").alias("times"))
-        with_n = _joined(counted, model.counts, model, ["prev", "next"], key)
-        sums = row_sums(model)
-        with_sum = (
-            with_n.join(F.broadcast(sums), "prev", "left")
-            if model.small
-            else lookup_join(with_n, sums, ["prev"], [key, "next"], "left")
-        )
-        p = _smoothed(
-            model, F.coalesce("n", F.lit(0)), F.coalesce("row_sum", F.lit(0)).cast("double")
-        ) if model.smoothing > 0 else F.try_divide(F.col("n"), F.col("row_sum"))
-        # null (never seen, no smoothing) must not be skipped by sum()
-        term = F.coalesce(F.ln(p), F.lit(float("-inf")))
-        sums_per_row = with_sum.groupBy(key).agg(F.sum(F.col("times") * term).alias("__score"))
-        out = df.withColumn("transitions", transitions).join(sums_per_row, key, "left")
+        out = out.join(_pair_scores(df, model, key, ids), key, "left")
         score = F.coalesce(F.col("__score"), F.lit(0.0))
     value = (
         F.when(transitions == 0, F.lit(0.0))
@@ -150,6 +128,33 @@ def log_probability(
     return out.withColumn("log_prob", value).drop("__score")
 
 
+def _pair_scores(df: DataFrame, model: BigramModel, key: str, ids: str) -> DataFrame:
+    """(key, __score): sum of ln p over the pairs of each row.
+
+    A small model is broadcast and each pair looks itself up in place, with only sums
+    leaving the task. For a large one each row's pairs are counted first, so the shuffle
+    carries distinct pairs and not tokens.
+    """
+    sums = row_sums(model)
+    if model.small:
+        found = pairs(df, key, ids).withColumn("times", F.lit(1))
+        found = found.join(F.broadcast(model.counts), ["prev", "next"], "left")
+        found = found.join(F.broadcast(sums), "prev", "left")
+    else:
+        found = pairs(df, key, ids).groupBy(key, "prev", "next").agg(F.count("*").alias("times"))
+        found = lookup_join(found, model.counts, ["prev", "next"], [key], "left")
+        found = lookup_join(found, sums, ["prev"], [key, "next"], "left")
+    n = F.coalesce("n", F.lit(0))
+    row_sum = F.coalesce("row_sum", F.lit(0)).cast("double")
+    if model.smoothing > 0:
+        p = _smoothed(model, n, row_sum)
+    else:
+        p = F.try_divide(n.cast("double"), row_sum)
+    # a pair without probability: ln gives null, which sum() would skip
+    term = F.coalesce(F.ln(p), F.lit(float("-inf")))
+    return found.groupBy(key).agg(F.sum(F.col("times") * term).alias("__score"))
+
+
 def perplexity(scored: DataFrame) -> DataFrame:
     """Add perplexity to scored rows: NaN without a transition, infinity without a finite score."""
     n, score = F.col("transitions"), F.col("log_prob")

@@ -274,7 +274,8 @@ def train(
     usable = df.where(~is_blank(F.col(text)))
     if usable.limit(1).count() == 0:
         raise ValueError("training text cannot be empty")
-    symbols = symbol_table(distinct_chunks(usable, key, text, pattern))
+    chunk_table = cut_lineage(distinct_chunks(usable, key, text, pattern), "chunks")
+    symbols = symbol_table(chunk_table)
     return Tokenizer(tuple(_learn(symbols, vocab_size - BYTES, BYTES)))
 
 
@@ -284,7 +285,8 @@ def train_characters(
     """The same training with whole words as chunks and characters as starting symbols."""
     base = tuple(vocabulary)
     stand_ins = "".join(tokens.id_to_char(i + 1) for i in range(len(base)))
-    words = distinct_chunks(df, key, text, r"\S+").select(
+    found = cut_lineage(distinct_chunks(df, key, text, r"\S+"), "chunks")
+    words = found.select(
         F.translate("chunk", "".join(base), stand_ins).alias("symbols"), "n", "first.doc", "first.pos"
     )
     symbols = ordered_rank(words, "doc", "first", ["pos"]).select("symbols", "n", "first")

@@ -11,18 +11,42 @@ from textmill.sources.storage import cut_lineage
 _BROADCAST_ROWS = 100_000
 
 
+def window_index(
+    df: DataFrame, length: int, key: str = "doc_id", ids: str = "ids", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(key, ids, kept columns, start): one row per window, the window itself not yet cut.
+
+    The starts are exploded beside the token array and the slice is taken from it in the
+    same generated code, so the array is not copied per row.
+    """
+    starts = tokens.window_starts(F.col(ids), length)
+    return df.select(key, ids, *keep, F.explode(starts).alias("start"))
+
+
 def windows(df: DataFrame, length: int, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, start, input, target): each window and its next token. Narrow, no shuffle.
 
     This multiplies the tokens by ``length``, so it belongs right before a sink. Splits
     and batches can be computed on (key, start) and cut their windows last.
     """
-    return df.select(key, F.inline(tokens.next_token_windows(F.col(ids), length)))
+    start = F.col("start")
+    return window_index(df, length, key, ids).select(
+        key,
+        start,
+        tokens.block_at(F.col(ids), start, length).alias("input"),
+        F.get(F.col(ids), start + length).alias("target"),
+    )
 
 
 def blocks(df: DataFrame, length: int, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, start, x, y): each block and the same block moved on by one token."""
-    return df.select(key, F.inline(tokens.shifted_blocks(F.col(ids), length)))
+    start = F.col("start")
+    return window_index(df, length, key, ids).select(
+        key,
+        start,
+        tokens.block_at(F.col(ids), start, length).alias("x"),
+        tokens.block_at(F.col(ids), start + 1, length).alias("y"),
+    )
 
 
 def with_block_count(df: DataFrame, length: int, ids: str = "ids") -> DataFrame:
@@ -71,24 +95,32 @@ def sample_blocks(
         draw_key, F.floor(uniform(seed, draw_key) * total).cast("long").alias("point")
     ).withColumn("cell", F.floor(F.col("point") / cell).cast("long"))
     last = F.col("offset") + F.col("blocks") - 1
-    cells = F.sequence(F.floor(F.col("offset") / cell), F.floor(last / cell))
-    ranges = placed.withColumn("cell", F.explode(cells)).withColumn("cell_rows", cell)
-    low = F.greatest(F.col("offset"), F.col("cell") * F.col("cell_rows"))
-    high = F.least(last, (F.col("cell") + 1) * F.col("cell_rows") - 1)
-    # only the tokens a cell can need go with it, so a very long row is not copied per cell
-    piece = F.slice(
-        ids,
-        (low - F.col("offset") + 1).cast("int"),
-        (high - low + 1 + length).cast("int"),
+    width = F.col("width")
+
+    def cut(c: Column) -> Column:
+        # only the tokens a cell can need go with it, so a very long row is not copied per cell
+        low = F.greatest(F.col("offset"), c * width)
+        high = F.least(last, (c + 1) * width - 1)
+        piece = F.slice(
+            ids, (low - F.col("offset") + 1).cast("int"), (high - low + 1 + length).cast("int")
+        )
+        return F.struct(
+            c.alias("cell"), low.alias("low"), high.alias("high"), piece.alias("piece")
+        )
+
+    cells = F.sequence(F.floor(F.col("offset") / width), F.floor(last / width))
+    ranges = placed.withColumn("width", cell).select(
+        key, "offset", F.inline(F.transform(cells, cut))
     )
-    ranges = ranges.select(key, "offset", "cell", low.alias("low"), high.alias("high"), piece.alias("piece"))
     matched = points.join(ranges, "cell").where(F.col("point").between(F.col("low"), F.col("high")))
-    block = tokens.shifted_block(
-        F.col("piece"), (F.col("point") - F.col("low")).cast("int"), length
-    )
+    inside = (F.col("point") - F.col("low")).cast("int")
     return matched.select(
-        draw_key, key, (F.col("point") - F.col("offset")).cast("int").alias("start"), block.alias("block")
-    ).select(draw_key, key, "start", "block.x", "block.y")
+        draw_key,
+        key,
+        (F.col("point") - F.col("offset")).cast("int").alias("start"),
+        tokens.block_at(F.col("piece"), inside, length).alias("x"),
+        tokens.block_at(F.col("piece"), inside + 1, length).alias("y"),
+    )
 
 
 def sample_blocks_once(
@@ -99,19 +131,18 @@ def sample_blocks_once(
     Only (key, start) is ranked; each task keeps its own best ``count``. The token arrays
     are joined to the few chosen starts afterwards.
     """
-    counted = with_block_count(df.select(key, ids), length, ids).where(F.col("blocks") > 0)
-    starts = counted.select(
-        key, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("start")
-    )
+    starts = window_index(df, length, key, ids).select(key, "start")
     chosen = (
         starts.withColumn("u", uniform(seed, key, "start")).orderBy("u", key, "start").limit(count)
     )
     # at most ``count`` rows
     small = F.broadcast(chosen) if count <= _BROADCAST_ROWS else chosen
-    picked = df.select(key, ids).join(small, key)
-    block = tokens.shifted_block(F.col(ids), F.col("start"), length)
-    return picked.select(key, "start", "u", block.alias("block")).select(
-        key, "start", "u", "block.x", "block.y"
+    return df.select(key, ids).join(small, key).select(
+        key,
+        "start",
+        "u",
+        tokens.block_at(F.col(ids), F.col("start"), length).alias("x"),
+        tokens.block_at(F.col(ids), F.col("start") + 1, length).alias("y"),
     )
 
 
@@ -130,14 +161,15 @@ def pack(
     placed = rejoin(stream, offsets(df.where(F.col(ids).isNotNull()), F.size(ids) + 1, key), key)
     first = F.floor(F.col("offset") / length).cast("long")
     last = F.floor((F.col("offset") + F.size("stream") - 1) / length).cast("long")
-    pieces = placed.withColumn("block_id", F.explode(F.sequence(first, last)))
-    begin = F.greatest(F.col("block_id") * length - F.col("offset"), F.lit(0))
-    end = F.least(
-        (F.col("block_id") + 1) * length - F.col("offset"), F.size("stream").cast("long")
-    )
-    piece = F.slice("stream", (begin + 1).cast("int"), (end - begin).cast("int"))
+
+    def cut(block: Column) -> Column:
+        begin = F.greatest(block * length - F.col("offset"), F.lit(0))
+        end = F.least((block + 1) * length - F.col("offset"), F.size("stream").cast("long"))
+        piece = F.slice("stream", (begin + 1).cast("int"), (end - begin).cast("int"))
+        return F.struct(block.alias("block_id"), piece.alias("piece"))
+
     return (
-        pieces.select("block_id", "offset", piece.alias("piece"))
+        placed.select("offset", F.inline(F.transform(F.sequence(first, last), cut)))
         .groupBy("block_id")
         .agg(F.array_sort(F.collect_list(F.struct("offset", "piece"))).alias("pieces"))
         .select("block_id", F.flatten(F.transform("pieces", lambda p: p["piece"])).alias("tokens"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import tokens
 from textmill.operators.ranking import hash_rank, ordered_rank, rejoin, running_total
+from textmill.operators.sequences import window_index
 from textmill.sources.storage import cut_lineage
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
@@ -53,12 +54,17 @@ def split_windows(
 ) -> DataFrame:
     """(key, start, input, target, split): windows in corpus order, the last part validation."""
     # int(N * (1 - v)): the ratio is formed first, as a double
-    cut = with_train_items(
-        df.select(key, ids), tokens.window_count(F.col(ids), length), F.lit(1 - validation_split), key
+    count = tokens.window_count(F.col(ids), length)
+    cut = with_train_items(df.select(key, ids), count, F.lit(1 - validation_split), key)
+    start = F.col("start")
+    split = F.when(start < F.col("train_items"), F.lit(TRAIN)).otherwise(F.lit(VALIDATION))
+    return window_index(cut, length, key, ids, ("train_items",)).select(
+        key,
+        start,
+        tokens.block_at(F.col(ids), start, length).alias("input"),
+        F.get(F.col(ids), start + length).alias("target"),
+        split.alias("split"),
     )
-    out = cut.select(key, "train_items", F.inline(tokens.next_token_windows(F.col(ids), length)))
-    split = F.when(F.col("start") < F.col("train_items"), F.lit(TRAIN)).otherwise(F.lit(VALIDATION))
-    return out.withColumn("split", split).drop("train_items")
 
 
 def split_tokens(
