@@ -57,10 +57,12 @@ def offsets(df: DataFrame, size: Column, key: str = "doc_id") -> DataFrame:
     """(key, size, offset): where each row begins in the corpus stream, rows in key order.
 
     Sizes are computed once and written as two numbers per row, as the passes that follow
-    would otherwise repeat the work that made the tokens.
+    would otherwise repeat the work that made the tokens. Rows without tokens (null) have
+    no place and are left out, which is decided on the written sizes: a filter on the
+    tokens would move down to the scan and make them once more there.
     """
     sizes = cut_lineage(df.select(key, size.cast("long").alias("size")), "sizes")
-    return running_total(sizes, key, "size", "offset")
+    return running_total(sizes.where(F.col("size").isNotNull()), key, "size", "offset")
 
 
 def sample_blocks(
@@ -155,10 +157,10 @@ def pack(
     borders, so what is shuffled is at most one piece per row and block, not one row per
     token. A block holds at most ``length`` pieces. The last block may be short.
     """
-    stream = df.where(F.col(ids).isNotNull()).select(
+    stream = df.select(
         key, F.concat(F.col(ids), F.array(F.lit(separator))).alias("stream")
     )
-    placed = rejoin(stream, offsets(df.where(F.col(ids).isNotNull()), F.size(ids) + 1, key), key)
+    placed = rejoin(stream, offsets(df, F.size(ids) + 1, key), key)
     first = F.floor(F.col("offset") / length).cast("long")
     last = F.floor((F.col("offset") + F.size("stream") - 1) / length).cast("long")
 

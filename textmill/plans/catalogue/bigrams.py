@@ -145,8 +145,9 @@ _P = 0.9
 
 
 def _starts(t: Tables) -> DataFrame:
-    return t.encoded.select("doc_id", F.get("ids", F.lit(0)).alias("start")).where(
-        F.col("start").isNotNull()
+    first = t.vocabulary.encode(F.substring("text", 1, 1))
+    return t.documents.where(F.length("text") > 0).select(
+        "doc_id", F.get(first, F.lit(0)).alias("start")
     )
 
 
