@@ -80,7 +80,7 @@ def test_split_arguments(spark):
 
 
 def test_stratified_with_one_large_class(spark):
-    df = spark.range(1000).select("id", F.when(F.col("id") < 700, "big").otherwise(F.col("id") % 3).alias("label"))
+    df = spark.range(1000).select("id", F.when(F.col("id") < 700, 9).otherwise(F.col("id") % 3).alias("label"))
     got = splits.split_stratified(df, "label", ["id"], 0.8, 5).groupBy("label", "split").count().collect()
     sizes = {(r.label, r.split): r["count"] for r in got}
     for label, n in Counter(r.label for r in df.collect()).items():

@@ -228,9 +228,9 @@ def _char_id(char: str) -> int:
 
 
 def _spread(symbols: DataFrame) -> DataFrame:
-    # every step reads this table; it is small in bytes next to the work done on it
-    width = int(symbols.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return symbols.repartition(width, "symbols")
+    # every step reads this table; it is small in bytes next to the work done on it, so it
+    # is cut by the number of cores and not by size
+    return symbols.repartition(symbols.sparkSession.sparkContext.defaultParallelism, "symbols")
 
 
 def _learn(symbols: DataFrame, merge_count: int, first_id: int) -> list[Merge]:
@@ -345,7 +345,7 @@ def encode_by_chunk(
     Chunk frequencies are very uneven, so the join spreads the most frequent chunks.
     """
     tokenizer.require_trained()
-    counted = distinct_chunks(df, key, text).select("chunk")
+    counted = cut_lineage(distinct_chunks(df, key, text).select("chunk", "n"), "chunks")
     book = counted.select(
         "chunk",
         tokens.symbols_to_ids(
@@ -353,7 +353,7 @@ def encode_by_chunk(
         ).alias("chunk_ids"),
     )
     placed = df.select(key, F.posexplode(chunks(F.col(text))).alias("pos", "chunk"))
-    pieces = lookup_join(placed, book, ["chunk"], [key, "pos"])
+    pieces = lookup_join(placed, book, ["chunk"], [key, "pos"], counts=counted)
     joined = pieces.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("pos", "chunk_ids"))).alias("pieces")
     )

@@ -5,7 +5,12 @@ from pyspark.sql import functions as F
 
 
 def lookup_join(
-    big: DataFrame, lookup: DataFrame, on: list[str], spread_by: list[str], how: str = "inner"
+    big: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    spread_by: list[str],
+    how: str = "inner",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a table with one row per key, when a few keys may hold much of the big side.
 
@@ -14,16 +19,15 @@ def lookup_join(
     Rows of hot keys are spread over P salts by the columns ``spread_by``, which must vary
     within a key, and the lookup's hot rows are copied once per salt. All other keys are
     joined as they are. Keys are counted with partial sums, so finding the hot ones does
-    not move the rows.
+    not move the rows; a caller that has the counts already passes them as (key, n).
     """
     parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = big.agg(F.count("*").alias("n")).scalar()
-    hot = (
-        big.groupBy(*on)
-        .agg(F.count("*").alias("__n"))
-        .where(F.col("__n") * parts > total)
-        .select(*on, F.lit(True).alias("__hot"))
-    )
+    if counts is None:
+        counts = big.groupBy(*on).agg(F.count("*").alias("n"))
+        total = big.agg(F.count("*").alias("n")).scalar()
+    else:
+        total = counts.agg(F.sum("n").alias("n")).scalar()
+    hot = counts.where(F.col("n") * parts > total).select(*on, F.lit(True).alias("__hot"))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
         F.array(F.lit(0))

@@ -36,7 +36,8 @@ def with_order_bucket(df: DataFrame, key: str, buckets: int | None = None) -> Da
     buckets = buckets or _bucket_total(df)
     numeric = df.withColumn(_KEY, F.col(key).cast("double"))
     wanted = [i / buckets for i in range(1, buckets)]
-    cuts = numeric.approxQuantile(_KEY, wanted, 0.25 / buckets) if wanted else []
+    error = max(0.25 / buckets, 1e-4)
+    cuts = numeric.approxQuantile(_KEY, wanted, error) if wanted else []
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     bucketed = Bucketizer(
         splits=splits, inputCol=_KEY, outputCol=_BUCKET, handleInvalid="keep"

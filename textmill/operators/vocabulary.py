@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from textmill.functions import tokens
 from textmill.functions.text import characters
 from textmill.operators.joins import lookup_join
+from textmill.sources.storage import cut_lineage
 
 
 def character_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -117,7 +118,9 @@ def encode_by_join(
     group is one document, so nothing unbounded is gathered.
     """
     chars = df.select(key, F.posexplode(characters(F.col(text))).alias("pos", "ch"))
-    found = lookup_join(chars, vocabulary, ["ch"], [key, "pos"]).groupBy(key).agg(
+    counts = cut_lineage(character_counts(df, text), "characters")
+    joined = lookup_join(chars, vocabulary, ["ch"], [key, "pos"], counts=counts)
+    found = joined.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("pos", "idx"))).alias("found")
     )
     ids = F.coalesce(

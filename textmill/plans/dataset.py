@@ -8,6 +8,7 @@ from textmill.functions.text import CleanOptions, clean
 from textmill.operators import splits
 from textmill.operators.statistics import basic_report
 from textmill.operators.vocabulary import Vocabulary, build_vocabulary
+from textmill.sources.storage import cut_lineage
 from textmill.sources.store import Dataset, DatasetOptions
 
 
@@ -40,7 +41,8 @@ def _stats(counts: DataFrame, which: str) -> DataFrame:
 
 def summarize(encoded: DataFrame, vocab_size: int, options: DatasetOptions) -> DataFrame:
     """One row from (chars, ids) rows: text length, vocabulary size, sequences, and input and target statistics."""
-    counts = window_token_counts(encoded, options.seq_length)
+    # at most one row per vocabulary item
+    counts = cut_lineage(window_token_counts(encoded, options.seq_length), "counts")
     windows = tokens.window_count(F.col("ids"), options.seq_length)
     total = encoded.agg(F.coalesce(F.sum(windows), F.lit(0)).cast("long").alias("n")).scalar()
     length = encoded.agg(F.coalesce(F.sum("chars"), F.lit(0)).alias("n")).scalar()
