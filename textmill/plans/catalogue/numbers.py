@@ -73,9 +73,9 @@ def length_distribution(t: Tables):
     )
 
 
-# Values with planted faults: NaN for every 97th event and infinity for every 89th.
-_FAULTY_SQL = """(SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'nan'::DOUBLE
-  WHEN event_id % 89 = 0 THEN 'inf'::DOUBLE ELSE value END AS value FROM events)"""
+# Values with planted faults: errors become NaN and signups infinity.
+_FAULTY_SQL = """(SELECT event_id, CASE event_type WHEN 'error' THEN 'nan'::DOUBLE
+  WHEN 'signup' THEN 'inf'::DOUBLE ELSE value END AS value FROM events)"""
 
 
 @query(
@@ -90,8 +90,8 @@ _FAULTY_SQL = """(SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'nan'::DOUBL
 )
 def validate_pairs(t: Tables):
     value = (
-        F.when(F.col("event_id") % 97 == 0, F.lit(float("nan")))
-        .when(F.col("event_id") % 89 == 0, F.lit(float("inf")))
+        F.when(F.col("event_type") == "error", F.lit(float("nan")))
+        .when(F.col("event_type") == "signup", F.lit(float("inf")))
         .otherwise(F.col("value"))
     )
     inputs = t("events").select(value.alias("value"))

@@ -8,11 +8,14 @@ from textmill.operators import batches
 from textmill.operators import bytepair as bp
 from textmill.plans.catalogue.base import (
     MERGES,
+    SQL_GPT4,
     Tables,
     query,
     spaced,
+    sql_bytes,
     sql_ids,
     sql_subwords,
+    sql_text,
     sql_training,
 )
 
@@ -86,8 +89,6 @@ def bpe_encode_by_chunk(t: Tables):
 
 def _sql_encode_texts(table: str, key: str) -> str:
     """The tokenizer of the documents applied to another table's texts."""
-    from textmill.plans.catalogue.base import SQL_GPT4, sql_bytes, sql_text
-
     symbols = sql_bytes("chunk")
     for k in range(MERGES):
         symbols = f"replace({symbols}, (SELECT p FROM p{k}), chr({256 + k}))"
@@ -282,14 +283,16 @@ def encode_distinct(t: Tables):
 
 @query(
     "encode_safe",
-    f"""WITH {_ENCODED} SELECT doc_id,
-      CASE WHEN doc_id % 3 = 0 THEN '' ELSE {sql_ids('s')} END AS ids FROM bpe""",
+    f"""WITH {_ENCODED} SELECT doc_id, 0 AS variant, {sql_ids('s')} AS ids FROM bpe
+    UNION ALL SELECT doc_id, 1, '' FROM documents
+    UNION ALL SELECT doc_id, 2, '-1' FROM documents""",
 )
 def encode_safe(t: Tables):
-    # every third text is blanked, so that both branches are taken
-    text = F.when(F.col("doc_id") % 3 == 0, F.lit(" \n\t ")).otherwise(F.col("text"))
-    ids = bp.encode_safe(text, t.tokenizer)
-    return t.documents.select("doc_id", spaced(ids).alias("ids"))
+    # each text as it is, a blank one (empty result) and a missing one (the default)
+    variants = F.array(F.col("text"), F.lit(" \n\t "), F.lit(None).cast("string"))
+    texts = t.documents.select("doc_id", F.posexplode(variants).alias("variant", "text"))
+    ids = bp.encode_safe(F.col("text"), t.tokenizer, F.array(F.lit(-1)))
+    return texts.select("doc_id", "variant", spaced(ids).alias("ids"))
 
 
 @query(
