@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from textmill.operators import bytepair
 from textmill.operators.bytepair import Tokenizer
 from textmill.operators.vocabulary import Vocabulary
-from textmill.sources.storage import new_folder
+from textmill.sources.storage import cut_lineage, new_folder
 from textmill.sources.text import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,11 @@ class Tables:
         ids = self.vocabulary.encode(F.col("text")).alias("ids")
         return self.documents.select("doc_id", "lang", "source", "text", ids)
 
+    @cached_property
+    def stored(self) -> DataFrame:
+        """(doc_id, lang, ids) written once, for work that passes over the ids several times."""
+        return cut_lineage(self.encoded.select("doc_id", "lang", "ids"), "encoded")
+
     @property
     def tokenizer(self) -> Tokenizer:
         """The tokenizer trained on the documents, once per session and folder."""

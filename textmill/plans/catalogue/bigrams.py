@@ -37,7 +37,7 @@ def _model(t: Tables) -> bg.BigramModel:
 
 
 def _scored(t: Tables) -> DataFrame:
-    return bg.log_probability(t.encoded.select("doc_id", "lang", "ids"), _model(t))
+    return bg.log_probability(t.stored, bg.fit(t.stored, len(t.vocabulary), _S))
 
 
 @query("bigram_counts", f"WITH {_SQL_COUNTS} SELECT prev, next, n FROM counts")
@@ -111,7 +111,7 @@ def bigram_perplexity_by_language(t: Tables):
     FROM pairs LEFT JOIN counts USING (prev, next) LEFT JOIN sums USING (prev), v GROUP BY split""",
 )
 def bigram_cross_entropy(t: Tables):
-    rows = splits.split_rows(t.encoded.select("doc_id", "ids"), "doc_id", 0.9)
+    rows = splits.split_rows(t.stored.select("doc_id", "ids"), "doc_id", 0.9)
     model = bg.fit(rows.where(F.col("split") == "train"), len(t.vocabulary), _S)
     out = bg.cross_entropy(bg.log_probability(rows, model), "split")
     return out.withColumn("cross_entropy", F.round("cross_entropy", 6))
