@@ -29,6 +29,8 @@ _CANDIDATES = 256
 _PENDING_LIMIT = 48
 # Up to this many merges are folded over whole texts; more go through the distinct chunks.
 _FOLD_LIMIT = 1024
+# A row has fewer chunks than this.
+_ROW_SPAN = 10_000_000_000
 # A chunk has fewer than 2^27 symbols and there are fewer than 2^36 distinct chunks.
 _PLACE_BITS = 27
 _SEPARATOR = tokens.id_to_char(tokens.MAX_TOKEN_ID)
@@ -115,12 +117,22 @@ UNTRAINED = Tokenizer(trained=False)
 def distinct_chunks(
     df: DataFrame, key: str = "doc_id", text: str = "text", pattern: str = GPT4_CHUNKS
 ) -> DataFrame:
-    """(chunk, n, first): each distinct chunk, its count, and where it first occurs."""
-    found = df.select(key, F.posexplode(chunks(F.col(text), pattern)).alias("pos", "chunk"))
-    return found.groupBy("chunk").agg(
-        F.count("*").alias("n"),
-        F.min(F.struct(F.col(key).alias("doc"), F.col("pos"))).alias("first"),
+    """(chunk, n, doc, pos): each distinct chunk, its count, and where it first occurs.
+
+    The place is aggregated as one number (row key, then place in the row). A minimum over
+    structs cannot live in a hash table and would sort every chunk of the corpus.
+    """
+    found = df.select(
+        F.col(key).cast("decimal(19,0)").alias("doc"),
+        F.posexplode(chunks(F.col(text), pattern)).alias("pos", "chunk"),
     )
+    place = F.col("doc") * F.lit(_ROW_SPAN).cast("decimal(11,0)") + F.col("pos")
+    first = found.groupBy("chunk").agg(
+        F.count("*").alias("n"), F.min(place.cast("decimal(38,0)")).alias("first")
+    )
+    doc = F.floor(F.col("first") / F.lit(_ROW_SPAN).cast("decimal(11,0)"))
+    pos = F.pmod("first", F.lit(_ROW_SPAN).cast("decimal(11,0)"))
+    return first.select("chunk", "n", doc.cast("long").alias("doc"), pos.cast("int").alias("pos"))
 
 
 def symbol_table(chunk_table: DataFrame) -> DataFrame:
@@ -129,8 +141,7 @@ def symbol_table(chunk_table: DataFrame) -> DataFrame:
     ``first`` becomes the chunk's number in order of first occurrence. As a plain number it
     keeps the pair aggregation in a hash table; a minimum over structs would need a sort.
     """
-    flat = chunk_table.select("chunk", "n", "first.doc", "first.pos")
-    return ordered_rank(flat, "doc", "first", ["pos"]).select(
+    return ordered_rank(chunk_table, "doc", "first", ["pos"]).select(
         tokens.utf8_symbols(F.col("chunk")).alias("symbols"), "n", "first"
     ).where(F.length("symbols") > 1)
 
@@ -287,7 +298,7 @@ def train_characters(
     stand_ins = "".join(tokens.id_to_char(i + 1) for i in range(len(base)))
     found = cut_lineage(distinct_chunks(df, key, text, r"\S+"), "chunks")
     words = found.select(
-        F.translate("chunk", "".join(base), stand_ins).alias("symbols"), "n", "first.doc", "first.pos"
+        F.translate("chunk", "".join(base), stand_ins).alias("symbols"), "n", "doc", "pos"
     )
     symbols = ordered_rank(words, "doc", "first", ["pos"]).select("symbols", "n", "first")
     symbols = symbols.where(F.length("symbols") > 1)
@@ -381,10 +392,8 @@ def encode_distinct(
     digest is then a hot key, which the join spreads by the row's own key.
     """
     named = df.withColumn("__digest", F.sha2(F.col(text), 256))
-    distinct = named.where(F.col(text).isNotNull()).groupBy("__digest").agg(
-        F.any_value(text).alias("__text")
-    )
-    encoded = distinct.select("__digest", encode_text(F.col("__text"), tokenizer).alias(out))
+    distinct = named.where(F.col(text).isNotNull()).select("__digest", text).distinct()
+    encoded = distinct.select("__digest", encode_text(F.col(text), tokenizer).alias(out))
     return lookup_join(named, encoded, ["__digest"], [key], "left").drop("__digest")
 
 
