@@ -4,7 +4,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import language, quality, toxicity
+from textmill.llm import (
+    decontamination,
+    language,
+    line_chunks,
+    mixing,
+    outliers,
+    quality,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +32,16 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
+@_query("op1_template_decontamination")
+def _op1(table) -> DataFrame:
+    return decontamination.contamination(table("documents"), table("benchmark"))
+
+
+@_query("op3_simhash_covering")
+def _op3(table) -> DataFrame:
+    return simhash.near_duplicates(table("documents"))
+
+
 @_query("op4_subword_quality")
 def _op4(table) -> DataFrame:
     return quality.scored(table("documents"), table("labels"))
@@ -33,6 +52,21 @@ def _op5(table) -> DataFrame:
     return toxicity.scored(table("documents"), table("labels"))
 
 
+@_query("op6_robust_outliers")
+def _op6(table) -> DataFrame:
+    return outliers.rules(table("documents"))
+
+
+@_query("op7_line_chunks")
+def _op7(table) -> DataFrame:
+    return line_chunks.dedup(table("documents"), detail=True)
+
+
 @_query("op8_rank_order_language")
 def _op8(table) -> DataFrame:
     return language.identified(table("documents"))
+
+
+@_query("op10_weighted_mixing", mixing.MIX_SQL.format(docs="documents"))
+def _op10(table) -> DataFrame:
+    return mixing.mix(table("documents"))
