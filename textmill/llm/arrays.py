@@ -135,6 +135,18 @@ def sequence_hash(items: np.ndarray, length: int, seed: int) -> np.ndarray:
     return mix(out + U64(seed))
 
 
+def smallest(values: np.ndarray, width: int) -> np.ndarray:
+    """The minimum of each ``width`` neighbouring values; one for each place where they fit."""
+    if len(values) < width:
+        return values[:0]
+    out, done = values, 1
+    while done < width:
+        step = min(done, width - done)
+        out = np.minimum(out[: len(out) - step], out[step:])
+        done += step
+    return out
+
+
 # --- characters -------------------------------------------------------------------------
 
 

@@ -137,7 +137,8 @@ FROM taken
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents the mix takes words of, with ``taken`` (words, repeats counted) added.
 
-    ``taken`` is left out if the input has a column of that name, which is then replaced.
+    A column named ``taken`` in the input is replaced. Rows with the same id all get the
+    largest of what is taken of them.
     """
-    own = mix(docs).where(F.col("taken") > 0).groupBy("doc_id").agg(F.max("taken").alias("taken"))
-    return docs.drop("taken").join(own, "doc_id")
+    own = mix(docs).where(F.col("taken") > 0).groupBy(F.col("doc_id").alias("__id")).agg(F.max("taken").alias("taken"))
+    return docs.drop("taken").join(own, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")

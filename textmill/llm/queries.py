@@ -12,6 +12,8 @@ from textmill.llm import (
     outliers,
     quality,
     simhash,
+    sketch_windows,
+    suffix_merge,
     toxicity,
 )
 
@@ -37,6 +39,11 @@ def _op1(table) -> DataFrame:
     return decontamination.contamination(table("documents"), table("benchmark"))
 
 
+@_query("op2_suffix_merge")
+def _op2(table) -> DataFrame:
+    return suffix_merge.dedup(table("documents"))
+
+
 @_query("op3_simhash_covering")
 def _op3(table) -> DataFrame:
     return simhash.near_duplicates(table("documents"))
@@ -67,6 +74,11 @@ def _op8(table) -> DataFrame:
     return language.identified(table("documents"))
 
 
+@_query("op9_count_min_windows")
+def _op9(table) -> DataFrame:
+    return sketch_windows.dedup(table("documents"))
+
+
 @_query("op10_weighted_mixing", mixing.MIX_SQL.format(docs="documents"))
 def _op10(table) -> DataFrame:
     return mixing.mix(table("documents"))
