@@ -6,6 +6,7 @@ Later stages work on all that their predecessor kept.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textmill.llm import decontamination, language, line_chunks, mixing, simhash
 from textmill.sources.storage import cut_lineage
@@ -21,7 +22,8 @@ def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document that has nothing left goes.
     """
-    return line_chunks.drop_repeated(docs)
+    left = line_chunks.drop_repeated(docs)
+    return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
 
 
 def deduplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
