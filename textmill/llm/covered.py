@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,16 @@ def identified(docs: DataFrame) -> DataFrame:
     )
 
 
+def packed(values: np.ndarray) -> bytes:
+    """An array's bytes, compressed for the shuffle."""
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def unpacked(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    tool = zstandard.ZstdDecompressor()
+    return [np.frombuffer(tool.decompress(x), kind) for x in column.to_pylist()]
+
+
 def edges(*columns: np.ndarray) -> np.ndarray:
     """Where the rows of sorted columns begin to differ from the row before."""
     if not len(columns[0]):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 
 from textmill.llm import sketch
 from textmill.llm.arrays import mix, prefix_sums, range_hash, runs, smallest
-from textmill.llm.covered import MARKS, edges, identified, joined_up, marks_batch, with_marks
+from textmill.llm.covered import MARKS, edges, identified, joined_up, marks_batch, packed, unpacked, with_marks
 from textmill.sources.storage import cut_lineage
 
 LENGTH = 50
@@ -84,9 +84,9 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
-_SENT = "bucket int, ids binary, ths binary, starts binary, lens binary, anchors binary, whole binary, text binary, marks binary"
+_SENT = "bucket int, ids binary, ths binary, starts binary, lens binary, anchors binary, text binary, marks binary"
 _SENT_NAMES = [x.split()[0] for x in _SENT.split(", ")]
-_SENT_TYPES = [pa.int32(), *[pa.binary()] * 8]
+_SENT_TYPES = [pa.int32(), *[pa.binary()] * 7]
 
 
 def _first_of(anchor: np.ndarray, whole: np.ndarray, size: np.ndarray, id_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,11 +112,11 @@ def _send(held: list[list[np.ndarray]], texts: list[np.ndarray], buckets: int) -
         done = own[id_[own] > least[own]]
         own = own[id_[own] == least[own]]
         settled = np.stack([x[done].astype(np.int64) for x in (id_, th, start, size)])
-        values = (id_[own], th[own], start[own].astype(np.int32), size[own].astype(np.int32), anchor[own], whole[own])
+        values = (id_[own], th[own], start[own].astype(np.int32), size[own].astype(np.int32), anchor[own])
         content = text[_ranges(begins[own], size[own] + LENGTH - 1)]
         columns[0].append(int(bucket[order[a]]))
         for c, v in zip(columns[1:], (*values, content, settled), strict=True):
-            c.append(v.tobytes())
+            c.append(packed(v))
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SENT_TYPES, strict=True)], _SENT_NAMES)
 
 
@@ -208,15 +208,16 @@ def _merge(table: pa.Table) -> pa.Table:
     """Marks of one bucket from its shards, one a row."""
 
     def column(name: str, kind: type) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+        return np.concatenate(unpacked(table.column(name), kind))
 
     ids, ths, starts = column("ids", np.int64), column("ths", np.int64), column("starts", np.int32).astype(np.int64)
     sizes = column("lens", np.int32).astype(np.int64)
-    anchors, whole, text = column("anchors", np.uint64), column("whole", np.uint64), column("text", np.uint8)
-    counts = np.array([len(x) // 8 for x in table.column("ids").to_pylist()])
+    anchors, text = column("anchors", np.uint64), column("text", np.uint8)
+    counts = [len(x) for x in unpacked(table.column("ids"), np.int64)]
     shards = np.repeat(np.arange(len(counts)), counts)
     begins = np.cumsum(sizes + LENGTH - 1) - (sizes + LENGTH - 1)
-    settled = np.concatenate([np.frombuffer(x, np.int64).reshape(4, -1) for x in table.column("marks").to_pylist()], axis=1)
+    whole = range_hash(prefix_sums(text, _SEED), begins, begins + sizes + LENGTH - 1, _SEED)
+    settled = np.concatenate([x.reshape(4, -1) for x in unpacked(table.column("marks"), np.int64)], axis=1)
     out = [marks_batch(*settled)]
     order, first, least = _first_of(anchors, whole, sizes, ids)
     later = ids > least
