@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 U64 = np.uint64
 
 

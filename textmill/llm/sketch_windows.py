@@ -2,7 +2,7 @@
 
 First pass: every task sketches the windows of its documents, and the partition sketches are
 merged (``sketch``). Second pass: windows estimated to stand in one document only are dropped;
-the estimate is never too low, so no repeat is lost. The others are grouped exactly by 128 bits
+the estimate is never too low, so no repeat is lost. The others are grouped exactly by 96 bits
 of hashes of their word sequence, and a window is a repeat where a smaller doc_id has it too.
 
 Before the shuffle each task settles what it can: of a window in several of its documents only
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from textmill.llm import sketch
 from textmill.llm.arrays import mix, prefix_sums, range_hash, runs, sequence_hash, smallest, words
-from textmill.llm.covered import MARKS, edges, identified, joined_up, marks_batch, with_marks
+from textmill.llm.covered import MARKS, edges, identified, joined_up, marks_batch, packed, unpacked, with_marks
 from textmill.sources.storage import cut_lineage
 
 WORDS = 13
@@ -87,7 +87,7 @@ def _send(parts: list[list[np.ndarray]], buckets: int) -> pa.RecordBatch:
         settled_runs = np.stack([id_[mh], th[mh], place[mh].astype(np.int64), m[msel]])
         row = (name, id_[head], th[head], place[head].astype(np.int32), size.astype(np.int32), h[w], g[w], settled_runs)
         for c, v in zip(columns, row, strict=True):
-            c.append(v if isinstance(v, int) else v.tobytes())
+            c.append(v if isinstance(v, int) else packed(v))
     types = [pa.int32(), *[pa.binary()] * 7]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], _SENT_NAMES)
 
@@ -99,10 +99,10 @@ def _compare(table: pa.Table) -> pa.Table:
     """Marks of one bucket: settled ones, and windows that a smaller id has too."""
 
     def column(name: str, kind: type) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+        return np.concatenate(unpacked(table.column(name), kind))
 
     ids, ths, starts = column("ids", np.int64), column("ths", np.int64), column("starts", np.int32)
-    lens, h, g = column("lens", np.int32).astype(np.int64), column("h", np.uint64), column("g", np.uint64)
+    lens, h, g = column("lens", np.int32).astype(np.int64), column("h", np.uint64), column("g", np.uint32)
     run = np.repeat(np.arange(len(lens)), lens)
     place = starts[run] + np.arange(len(run)) - (np.cumsum(lens) - lens)[run]
     owner = ids[run]
@@ -114,8 +114,7 @@ def _compare(table: pa.Table) -> pa.Table:
     at = np.flatnonzero(again)
     a, n = joined_up(run[at], place[at])
     head = at[a]
-    settled = [np.frombuffer(x, np.int64).reshape(4, -1) for x in table.column("marks").to_pylist()]
-    settled = np.concatenate(settled, axis=1)
+    settled = np.concatenate([x.reshape(4, -1) for x in unpacked(table.column("marks"), np.int64)], axis=1)
     batches = [marks_batch(owner[head], ths[run[head]], place[head], n), marks_batch(*settled)]
     return pa.Table.from_batches(batches)
 
@@ -139,7 +138,7 @@ def repeats(docs: DataFrame, length: int = WORDS) -> DataFrame:
                 low = smallest(sequence_hash(word, _GROUP, 1), length - _GROUP + 1)[at[hit]]
                 bucket = (mix(low) % np.uint64(buckets)).astype(np.int32)
                 row, place = row[hit], place[hit]
-                held.append([ids[first + row], ths[first + row], place, bucket, h[hit], g[hit]])
+                held.append([ids[first + row], ths[first + row], place, bucket, h[hit], (g[hit] >> np.uint64(32)).astype(np.uint32)])
                 size += len(row)
                 if size > _PENDING:
                     yield _send(held, buckets)
@@ -147,7 +146,10 @@ def repeats(docs: DataFrame, length: int = WORDS) -> DataFrame:
         if held:
             yield _send(held, buckets)
 
-    return own.mapInArrow(candidates, _SENT).groupBy("bucket").applyInArrow(_compare, MARKS)
+    marks = own.mapInArrow(candidates, _SENT).groupBy("bucket").applyInArrow(_compare, MARKS)
+    marks = cut_lineage(marks, "marks")
+    bits.destroy()  # the marks are written
+    return marks
 
 
 def _finish(length: int):
@@ -177,5 +179,4 @@ def _finish(length: int):
 
 def dedup(docs: DataFrame, length: int = WORDS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row."""
-    marks = cut_lineage(repeats(docs, length), "marks")
-    return with_marks(docs, marks, _finish(length), "n_words:long,n_removed:long,kept_sha256:string")
+    return with_marks(docs, repeats(docs, length), _finish(length), "n_words:long,n_removed:long,kept_sha256:string")

@@ -41,7 +41,7 @@ from textmill.sources.storage import cut_lineage
 
 LENGTH = 50
 ANCHOR = 25
-PORTION = 1_000_000
+PORTION = 500_000
 _SEED = 47
 _PENDING = 8_000_000  # snippet bytes held by a task
 _PLACE = np.uint64(28)  # low bits of a key that hold a place; the rest is the hash compared
@@ -280,7 +280,9 @@ def repeats(docs: DataFrame) -> DataFrame:
         if held:
             yield _send(held, texts, buckets)
 
-    return own.mapInArrow(shards, _SENT).groupBy("bucket").applyInArrow(_merge, MARKS)
+    marks = cut_lineage(own.mapInArrow(shards, _SENT).groupBy("bucket").applyInArrow(_merge, MARKS), "marks")
+    bits.destroy()  # the marks are written
+    return marks
 
 
 def _finish(texts: pa.Array, marks: list) -> pa.Array:
@@ -306,5 +308,4 @@ def _finish(texts: pa.Array, marks: list) -> pa.Array:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    marks = cut_lineage(repeats(docs), "marks")
-    return with_marks(docs, marks, _finish, "n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string")
+    return with_marks(docs, repeats(docs), _finish, "n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string")
