@@ -79,13 +79,14 @@ def fingerprint_of(text: bytes) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprints(texts: pa.Array) -> pa.Array:
-    out = np.zeros(len(texts), np.uint64)
-    for first, last, data, offsets in runs(texts):
-        raw = data.tobytes()
-        for row in range(last - first):
-            out[first + row] = fingerprint_of(raw[offsets[row] : offsets[row + 1]])
-    return pa.array(out.view(np.int64))
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = np.zeros(batch.num_rows, np.uint64)
+        for first, last, data, offsets in runs(batch.column(1)):
+            raw = data.tobytes()
+            for row in range(last - first):
+                out[first + row] = fingerprint_of(raw[offsets[row] : offsets[row + 1]])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
 
 
 def _forest(prints: np.ndarray) -> np.ndarray:
@@ -193,8 +194,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row."""
-    fingerprints = F.arrow_udf(_fingerprints, "long")
-    own = cut_lineage(docs.select("doc_id", fingerprints(F.col("text")).alias("fp")), "prints")
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    own = cut_lineage(texts.mapInArrow(_fingerprints, "doc_id long, fp long"), "prints")
     prints = own.groupBy("fp").agg(F.min("doc_id").alias("first"))
     rooted = components(links(prints))
     roots = prints.join(rooted, prints.fp == rooted.node, "left").select(
