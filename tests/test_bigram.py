@@ -140,3 +140,10 @@ def test_lookup_join_with_a_hot_key(spark):
     want = Counter({7: "hot", 3: "three"}.get(r.k) for r in big.collect())
     assert got == want
     assert lookup_join(big, lookup, ["k"], ["id"], "left_semi").count() == want["hot"] + want["three"]
+
+
+def test_sampling_refuses_a_start_outside_the_vocabulary(spark, sequences):
+    model = bg.fit(sequences([0, 1, 2, 3]), 4)
+    starts = spark.createDataFrame([(1, 99)], "doc_id long, start int")
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        bg.sample(starts, model, 4, 1).collect()

@@ -49,3 +49,13 @@ def test_unknowns_info_and_join(docs):
     assert (empty.vocab_size, empty.min_idx, empty.max_idx) == (0, None, None)
     joined = {r.doc_id: r.ids for r in vo.encode_by_join(df, table).collect()}
     assert joined == {0: [0, 1, 2, 0], 1: [], 2: [], 3: None}
+
+
+def test_a_vocabulary_of_thirty_thousand_characters(docs):
+    chars = [chr(p) for p in range(0x20, 0x7600) if p % 2 or p < 0x100]
+    chars += [chr(p) for p in range(0x20000, 0x24000)]
+    vocabulary = vo.Vocabulary(tuple(chars))
+    assert len(vocabulary) > 30_000
+    text = "".join(chars[::97]) + chr(0x102) + "a" + chr(0x30000)
+    out = docs(text, None).orderBy("doc_id").select(vocabulary.encode(F.col("text")).alias("e")).collect()
+    assert out[0].e == [*range(0, len(chars), 97), chars.index("a")] and out[1].e is None

@@ -35,7 +35,7 @@ class BigramModel:
 
     def __post_init__(self) -> None:
         if self.vocab_size <= 0:
-            raise ValueError("vocab_size must be a positive integer")
+            raise ValueError("a model needs a vocabulary of at least one token")
 
     @property
     def small(self) -> bool:
@@ -67,7 +67,7 @@ def fit(
         F.greatest(F.max("prev"), F.max("next")).alias("hi"),
     ).first()
     if ends.lo is not None and not (0 <= ends.lo and ends.hi < vocab_size):
-        raise ValueError("token ids must be in range [0, vocab_size)")
+        raise ValueError("the ids of a model's vocabulary must be in range: one lies outside")
     return BigramModel(counts, vocab_size, smoothing, ends.lo is not None)
 
 
@@ -88,7 +88,7 @@ def probabilities(model: BigramModel) -> DataFrame:
 def next_distribution(model: BigramModel, spark: SparkSession, token_id: int) -> DataFrame:
     """(next, p) over the whole vocabulary for one token; uniform when not fitted."""
     if not 0 <= token_id < model.vocab_size:
-        raise ValueError("token_id out of range")
+        raise ValueError("no such token in the vocabulary")
     every = spark.range(model.vocab_size).select(F.col("id").cast("int").alias("next"))
     if not model.fitted:
         return every.withColumn("p", F.lit(1.0 / model.vocab_size))
@@ -184,7 +184,7 @@ def reshaped(model: BigramModel, temperature: float) -> DataFrame:
     same weight in a row, so their share of the sum is that weight times their number.
     """
     if temperature <= 0:
-        raise ValueError("temperature must be > 0")
+        raise ValueError("a temperature above zero is needed")
     probs = probabilities(model)
     if temperature == 1.0:
         return probs.select("prev", "next", "n", "p")
@@ -247,7 +247,7 @@ def top_k(model: BigramModel, spark: SparkSession, k: int, temperature: float =
     Equal probabilities go to the lower id. k above the vocabulary size means all of it.
     """
     if k <= 0:
-        raise ValueError("k must be > 0")
+        raise ValueError("at least one continuation must be kept")
     k = min(k, model.vocab_size)
     seen = reshaped(model, temperature)
     facts = _row_facts(model, seen, spark, temperature)
@@ -261,7 +261,7 @@ def top_p(
 ) -> DataFrame:
     """(prev, next, p): the smallest set of likeliest continuations that reaches the threshold."""
     if not 0 < threshold <= 1:
-        raise ValueError("p must be in (0, 1]")
+        raise ValueError("the threshold is a share above 0 and up to 1")
     seen = reshaped(model, temperature)
     facts = _row_facts(model, seen, spark, temperature)
     lacking = F.lit(threshold) - F.col("mass")
@@ -287,7 +287,7 @@ def _walk(
     table. The state is written out every few steps to keep the plan short.
     """
     if length <= 0:
-        raise ValueError("length must be >= 1")
+        raise ValueError("a sequence has at least one token")
     state = starts.select(key, F.array("start").alias("ids"), F.col("start").alias("prev"))
     for t in range(1, length):
         state = step(state, t)
@@ -332,8 +332,11 @@ def sample(
 
     The smoothed row is a mixture: with probability row_sum / (row_sum + s V) a draw from
     the counts, otherwise a uniform draw over the vocabulary. So unseen pairs are reached
-    without a row for each.
+    without a row for each. A start that is not in the vocabulary fails the job.
     """
+    bad = F.raise_error(F.lit("a sequence starts with an id outside the vocabulary")).cast("int")
+    first = F.when(F.col("start").between(0, model.vocab_size - 1), F.col("start")).otherwise(bad)
+    starts = starts.withColumn("start", first.cast("int"))
     table = cut_lineage(_continuations(model.counts, "n"), "continuations")
     small = model.small
     pseudo = model.smoothing * model.vocab_size

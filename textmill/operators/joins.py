@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.sources.storage import cut_lineage
+
 
 def lookup_join(
     big: DataFrame,
@@ -23,18 +25,20 @@ def lookup_join(
     """
     parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if counts is None:
-        counts = big.groupBy(*on).agg(F.count("*").alias("n"))
-        total = big.agg(F.count("*").alias("n")).scalar()
-    else:
-        total = counts.agg(F.sum("n").alias("n")).scalar()
+        counts = cut_lineage(big.groupBy(*on).agg(F.count("*").alias("n")), "counts")
+    total = counts.agg(F.sum("n").alias("n")).scalar()
     hot = counts.where(F.col("n") * parts > total).select(*on, F.lit(True).alias("__hot"))
+    # rows with a null key match nothing, so any salt will do for them
+    spread = F.coalesce(F.col("__hot"), F.lit(False))
+    for key in on:
+        spread = spread | F.col(key).isNull()
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
         F.array(F.lit(0))
     )
     left = (
         big.join(F.broadcast(hot), on, "left")
-        .withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0)))
+        .withColumn("__salt", F.when(spread, salt).otherwise(F.lit(0)))
         .drop("__hot")
     )
     right = (

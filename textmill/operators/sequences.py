@@ -195,9 +195,9 @@ def concat_texts(
 ) -> DataFrame:
     """(group, part, text): the texts of a group joined in key order.
 
-    A group may be far larger than one string can be, so it is written in parts of about
-    ``part_chars`` characters, cut between rows; joining the parts of a group in order with
-    the same separator gives the whole. A small group is one part.
+    A group may be far larger than one string can be, so every group is written in parts: a
+    row belongs to part k if k * ``part_chars`` characters, separators included, stand before
+    it. Joining the parts of a group in order with the same separator gives the whole.
     """
     usable = df.where(F.col(text).isNotNull()).select(group, key, text)
     size = F.length(text) + len(separator)

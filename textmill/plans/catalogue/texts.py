@@ -108,8 +108,11 @@ def clean_docs(t: Tables):
 
 @query(
     "concat_by_source",
-    """SELECT source, 0::BIGINT AS part, string_agg(text, ' ' ORDER BY doc_id) AS text
-    FROM documents GROUP BY source""",
+    """SELECT source, part, string_agg(text, ' ' ORDER BY doc_id) AS text
+    FROM (SELECT doc_id, source, text, (coalesce(sum(length(text) + 1) OVER (
+            PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+          ), 0) // 1000000)::BIGINT AS part FROM documents WHERE text IS NOT NULL)
+    GROUP BY source, part""",
 )
 def concat_by_source(t: Tables):
     return sequences.concat_texts(t.documents, "source", " ")

@@ -62,15 +62,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
     """A Parquet text dataset.
 
-    With ``spread_by``, a dataset of fewer files than there are cores is spread by that
-    column, as a file of one row group is read by one task. A dataset of many files already
-    has enough tasks and is left alone.
+    With ``spread_by``, its rows are spread by that column over all cores, which a dataset of
+    few row groups needs, as one row group is read by one task.
     """
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and len(df.inputFiles()) < cores:
-        return df.repartition(cores, spread_by)
-    return df
+    return df.repartition(spark.sparkContext.defaultParallelism, spread_by) if spread_by else df
 
 
 def lines_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
