@@ -1,6 +1,9 @@
 """Cleaning and splitting of text, as single projections that stay in the JVM."""
 
+import sys
+import unicodedata
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -77,6 +80,22 @@ def clean(text: Column, options: CleanOptions = CleanOptions()) -> Column:
     return text
 
 
+@cache
+def _accented() -> tuple[str, str]:
+    """Letters that canonically are a base character with marks, and their base characters."""
+    found = []
+    for point in range(0x80, sys.maxunicode + 1):
+        parts = unicodedata.normalize("NFD", chr(point))
+        if len(parts) > 1 and unicodedata.combining(parts[0]) == 0 and all(map(unicodedata.combining, parts[1:])):
+            found.append((chr(point), parts[0]))
+    return "".join(a for a, _ in found), "".join(b for _, b in found)
+
+
+def strip_accents(text: Column) -> Column:
+    """Accented letters become their base letter, and free-standing accents go."""
+    return F.regexp_replace(F.translate(text, *_accented()), r"\p{Mn}+", "")
+
+
 def is_blank(text: Column) -> Column:
     """True for an empty or whitespace-only text; null counts as blank."""
     return F.coalesce(~text.rlike(rf"(?U)[^\s\x1c-\x1f]"), F.lit(True))

@@ -125,3 +125,69 @@ def window_starts(ids: Column, length: int) -> Column:
 
 def block_at(ids: Column, start: Column, length: int) -> Column:
     return F.slice(ids, start + 1, F.lit(length))
+
+
+def pad_left(ids: Column, length: Column | int, pad_id: int = 0) -> Column:
+    """Cut to the last ``length`` tokens or fill at the left to exactly that many."""
+    length = F.lit(length) if isinstance(length, int) else length
+    kept = F.slice(ids, F.greatest(F.size(ids) - length, F.lit(0)) + 1, length)
+    missing = F.greatest(length - F.size(ids), F.lit(0))
+    return F.concat(F.array_repeat(F.lit(pad_id).cast("int"), missing), kept)
+
+
+def split_long(ids: Column, length: int) -> Column:
+    """Consecutive pieces of ``length`` tokens, the last one shorter; none for an empty row."""
+    if length < 1:
+        raise ValueError("a piece holds at least one token")
+    pieces = F.ceil(F.size(ids) / length).cast("int")
+    starts = F.when(pieces > 0, F.sequence(F.lit(0), pieces - 1)).when(
+        ids.isNotNull(), F.array().cast("array<int>")
+    )
+    return F.transform(starts, lambda k: F.slice(ids, k * length + 1, F.lit(length)))
+
+
+def pair_lengths(first: Column, second: Column, length: int, longest_first: bool = True) -> Column:
+    """STRUCT<first, second>: how many tokens each side of a pair keeps within ``length``.
+
+    Longest-first takes tokens from whichever side is longer, from the first side on a tie;
+    otherwise only the first side is cut, and the second only when nothing of the first is left.
+    """
+    n, m = F.size(first), F.size(second)
+    if longest_first:
+        # both sides above half end at half; a side below it keeps all, the other has the rest
+        half = length // 2
+        kept = F.when(n + m <= length, n).when(m <= length - half, length - m).otherwise(F.least(n, F.lit(half)))
+        kept = F.greatest(kept, F.lit(0))
+    else:
+        kept = F.least(n, F.greatest(length - m, F.lit(0)))
+    return F.struct(kept.alias("first"), F.least(m, length - kept).alias("second"))
+
+
+def truncate_pair(first: Column, second: Column, length: int, longest_first: bool = True) -> Column:
+    """STRUCT<first, second> of the two id arrays, cut as ``pair_lengths`` says."""
+    kept = pair_lengths(first, second, length, longest_first)
+    return F.struct(
+        F.slice(first, F.lit(1), kept["first"]).alias("first"),
+        F.slice(second, F.lit(1), kept["second"]).alias("second"),
+    )
+
+
+def with_special(
+    ids: Column, bos: int | None = None, eos: int | None = None, unk: int | None = None, size: int | None = None
+) -> Column:
+    """Ids between a start and an end token; with ``unk``, ids outside [0, size) become it."""
+    if unk is not None:
+        if size is None:
+            raise ValueError("unk needs the size of the vocabulary")
+        ids = F.transform(ids, lambda i: F.when((i >= 0) & (i < size), i).otherwise(F.lit(unk)))
+    parts = [F.array(F.lit(bos))] if bos is not None else []
+    parts.append(ids)
+    if eos is not None:
+        parts.append(F.array(F.lit(eos)))
+    return F.concat(*parts)
+
+
+def with_language(ids: Column, language: Column, token_of: dict[str, int], other: int) -> Column:
+    """Ids with the token of the row's language in front; ``other`` where it has none."""
+    table = F.create_map(*[F.lit(x) for item in token_of.items() for x in item])
+    return F.concat(F.array(F.coalesce(table[language], F.lit(other))), ids)

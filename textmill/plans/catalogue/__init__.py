@@ -2,6 +2,7 @@
 
 from textmill.plans.catalogue import (  # noqa: F401  (importing registers the queries)
     bigrams,
+    curation,
     numbers,
     sequences,
     storage,
