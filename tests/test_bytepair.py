@@ -1,6 +1,10 @@
 from collections import Counter
 
+import random
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 import regex
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -168,3 +172,43 @@ def test_many_merges_fold_and_batches(docs):
     learned, _ = train_in_memory([text], 90)
     trained = bp.train(docs(text), 256 + 90)
     assert [(m.left, m.right, m.freq) for m in trained.merges] == learned
+
+
+def test_training_at_vocabulary_1000_equals_the_definition(spark, docs):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh é", k=rng.randint(2, 12))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(6)]
+    learned, seqs = train_in_memory(texts, 744)
+    trained = bp.train(docs(*texts), 1000)
+    assert [(m.left, m.right, m.freq) for m in trained.merges] == learned
+    got = {r.doc_id: r.ids for r in bp.encode(docs(*texts), trained).collect()}
+    assert [x for k in sorted(got) for x in got[k]] == [x for s in seqs for x in s]
+
+
+def test_more_tied_pairs_than_candidates(docs):
+    # 400 two-letter words that occur once each: every pair is as frequent as the others
+    texts = [" ".join(chr(0x4E00 + 2 * k) for k in range(400))]
+    learned, _ = train_in_memory(texts, 30)
+    assert [(m.left, m.right, m.freq) for m in bp.train(docs(*texts), 286).merges] == learned
+
+
+@given(st.lists(st.integers(0, 3), max_size=30), st.integers(0, 8))
+@settings(max_examples=200, deadline=None)
+def test_merging_a_chunk_follows_the_ranks(ids, merges):
+    rng = random.Random(merges)
+    known: list[tuple[int, int]] = []
+    for k in range(merges):
+        pair = (rng.randrange(4 + k), rng.randrange(4 + k))
+        if pair not in known:
+            known.append(pair)
+    want = list(ids)
+    for rank, pair in enumerate(known):
+        out, i = [], 0
+        while i < len(want):
+            hit = tuple(want[i : i + 2]) == pair
+            out.append(4 + rank if hit else want[i])
+            i += 2 if hit else 1
+        want = out
+    # a merge may only use ids that are older than its own
+    if all(max(p) < 4 + r for r, p in enumerate(known)):
+        assert bp.merge_chunk(list(ids), {p: r for r, p in enumerate(known)}, 4) == want

@@ -8,10 +8,14 @@ A chunk is a string with one character per token (see ``functions.tokens``): mer
 is a ``replace``, which goes left to right without overlap, exactly as the merge is defined.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from heapq import heapify, heappop, heappush
+from itertools import chain, pairwise
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +31,8 @@ BYTES = 256
 _CANDIDATES = 256
 # Merges that may pile up on the chunk table before it is written out again.
 _PENDING_LIMIT = 48
-# Up to this many merges are folded over whole texts; more go through the distinct chunks.
-_FOLD_LIMIT = 1024
+# Chunks a task remembers before it starts afresh.
+_REMEMBERED = 500_000
 # A row has fewer chunks than this.
 _ROW_SPAN = 10_000_000_000
 # A chunk has fewer than 2^27 symbols and there are fewer than 2^36 distinct chunks.
@@ -319,29 +323,78 @@ def _chunk_stream(text: Column, pattern: str) -> Column:
     return joined
 
 
+def merge_chunk(ids: list[int], ranks: dict[tuple[int, int], int], first_id: int) -> list[int]:
+    """Merge one chunk: always the lowest-ranked pair there is, the leftmost of equals.
+
+    A heap holds the places of known pairs, so the cost follows the chunk's length and not
+    the number of merges.
+    """
+    n = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[pair], i) for i, pair in enumerate(pairwise(ids)) if pair in ranks]
+    heapify(heap)
+    while heap:
+        rank, i = heappop(heap)
+        j = after[i]
+        if ids[i] < 0 or j >= n or ranks.get((ids[i], ids[j])) != rank:
+            continue  # one of the two has been merged since
+        ids[i], ids[j] = first_id + rank, -1
+        after[i] = after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        for left, right in ((before[i], i), (i, after[i])):
+            if left >= 0 and right < n and (ids[left], ids[right]) in ranks:
+                heappush(heap, (ranks[ids[left], ids[right]], left))
+    return [i for i in ids if i >= 0]
+
+
+def _chunk_ids(tokenizer: Tokenizer) -> Callable[..., Column]:
+    """ARRAY<STRING> of chunks -> ARRAY<INT> of the ids of all of them.
+
+    Each distinct chunk of an Arrow batch is merged once; a task remembers chunks it has seen.
+    """
+    ranks = {(m.left, m.right): m.rank for m in tokenizer.merges}
+    first_id = tokenizer.base_size
+    seen: dict[str, list[int]] = {}
+
+    @F.arrow_udf("array<int>")
+    def encoded(rows: pa.Array) -> pa.Array:
+        found = rows.flatten().dictionary_encode()
+        if len(seen) > _REMEMBERED:
+            seen.clear()
+        pieces = []
+        for chunk in found.dictionary.to_pylist():
+            if chunk not in seen:
+                seen[chunk] = merge_chunk(list(chunk.encode()), ranks, first_id)
+            pieces.append(seen[chunk])
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        book = np.fromiter(chain.from_iterable(pieces), np.int32, int(size.sum()))
+        at = found.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(size[at])])
+        first = (np.cumsum(size) - size)[at] - ends[:-1]
+        ids = book[np.repeat(first, size[at]) + np.arange(ends[-1])]
+        lengths = rows.value_lengths()
+        stops = np.concatenate([[0], np.cumsum(lengths.fill_null(0).to_numpy())])
+        offsets = pa.array(ends[stops].astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(ids), mask=rows.is_null())
+
+    return encoded
+
+
 def encode_text(text: Column, tokenizer: Tokenizer, pattern: str = GPT4_CHUNKS) -> Column:
     """Token ids as ARRAY<INT>, in one projection: no shuffle, whatever the corpus size."""
     tokenizer.require_trained()
-    merged = apply_merges(_chunk_stream(text, pattern), tokenizer.merges)
-    return tokens.symbols_to_ids(F.replace(merged, F.lit(_SEPARATOR), F.lit("")))
+    return _chunk_ids(tokenizer)(chunks(text, pattern))
 
 
 def encode(
     df: DataFrame,
     tokenizer: Tokenizer,
-    key: str = "doc_id",
     text: str = "text",
     out: str = "ids",
 ) -> DataFrame:
-    """Add token ids to each row.
-
-    A short merge list is folded over each text where it stands. A long one would cost one
-    pass over the text per merge, so then each distinct chunk is encoded once instead.
-    """
-    tokenizer.require_trained()
-    if len(tokenizer.merges) <= _FOLD_LIMIT:
-        return df.withColumn(out, encode_text(F.col(text), tokenizer))
-    return encode_by_chunk(df, tokenizer, key, text, out)
+    """Add token ids to each row."""
+    return df.withColumn(out, encode_text(F.col(text), tokenizer))
 
 
 def encode_by_chunk(
@@ -351,18 +404,14 @@ def encode_by_chunk(
     text: str = "text",
     out: str = "ids",
 ) -> DataFrame:
-    """Encode each distinct chunk once and put the results back in document order.
+    """Encode each distinct chunk of the corpus once and put the results back in order.
 
-    Chunk frequencies are very uneven, so the join spreads the most frequent chunks.
+    This moves every chunk, which ``encode`` does not. Chunk frequencies are very uneven, so
+    the join spreads the most frequent chunks.
     """
     tokenizer.require_trained()
     counted = cut_lineage(distinct_chunks(df, key, text).select("chunk", "n"), "chunks")
-    book = counted.select(
-        "chunk",
-        tokens.symbols_to_ids(
-            apply_merges(tokens.utf8_symbols(F.col("chunk")), tokenizer.merges)
-        ).alias("chunk_ids"),
-    )
+    book = counted.select("chunk", _chunk_ids(tokenizer)(F.array("chunk")).alias("chunk_ids"))
     placed = df.select(key, F.posexplode(chunks(F.col(text))).alias("pos", "chunk"))
     pieces = lookup_join(placed, book, ["chunk"], [key, "pos"], counts=counted)
     joined = pieces.groupBy(key).agg(
