@@ -102,6 +102,16 @@ def test_scores(spark):
     assert got == [(1, 2.0, 7.0), (2, 3.0, 7.0)]
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_scores_of_many_queries(spark, monkeypatch, limit):
+    monkeypatch.setattr(attention_lookup, "_BROADCAST_BYTES", limit)
+    queries = spark.range(1200).select(F.col("id").alias("query"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
+    keys = spark.createDataFrame([([2.0, 4.0], 7.0), ([0.0, 1.0], 8.0)], "vector array<double>, value double")
+    got = sorted(tuple(r) for r in attention_lookup.score(queries, keys).collect())
+    assert got == sorted([(k, 2.0 * k + 4.0, 7.0) for k in range(1200)] + [(k, 1.0, 8.0) for k in range(1200)])
+    assert attention_lookup.score(queries.limit(0), keys).count() == 0
+
+
 def test_dataset_folder(spark, docs, tmp_path):
     texts = ["  hello world \r\n", "abc", "x" * 40]
     options = DatasetOptions(seq_length=5, validation_split=0.25)

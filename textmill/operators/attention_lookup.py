@@ -1,16 +1,14 @@
 """Lookup of a value by similarity: a softmax over scores, then a weighted sum."""
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.vectors import dot
 from textmill.operators.joins import lookup_join
 
-
-# The queries of one lookup travel inside every task as one constant.
-_MAX_QUERIES = 1000
+# Queries that travel together in one row.
+_BLOCK = 256
+_BROADCAST_BYTES = 64 << 20
 
 
 def score(
@@ -22,17 +20,24 @@ def score(
 ) -> DataFrame:
     """(query, score, value): the dot product of each query with each key.
 
-    A lookup scores every key by definition, so this is for few queries (checked) over any
-    number of keys. The queries go out as one constant and each key row scores itself in
-    place; nothing is joined, and what follows sums inside each task before the shuffle.
+    A lookup scores every key for every query by definition. Queries are put in blocks, one row
+    each; every key meets every block and scores itself against it, and what follows sums
+    inside each task before the shuffle. Blocks are broadcast while their vectors are small;
+    beyond that each key is sent once per block, spread over the tasks. Query ids are distinct.
     """
-    rows = queries.select(query, vector).limit(_MAX_QUERIES + 1).collect()
-    if len(rows) > _MAX_QUERIES:
-        raise ValueError(f"more than {_MAX_QUERIES} queries; look them up in parts")
-    kind = dict(queries.dtypes)[query]
-    text = json.dumps([{"id": r[0], "v": list(r[1])} for r in rows])
-    constant = F.from_json(F.lit(text), f"array<struct<id: {kind}, v: array<double>>>")
-    asked = keys.withColumn("__q", F.explode(constant))
+    known = queries.select(query, vector)
+    rows, numbers = known.agg(F.count("*"), F.coalesce(F.sum(F.size(vector)), F.lit(0))).first()
+    count = max(1, -(-rows // _BLOCK))
+    block = F.pmod(F.xxhash64(query), F.lit(count)).cast("int")
+    blocks = known.groupBy(block.alias("__block")).agg(
+        F.collect_list(F.struct(F.col(query).alias("id"), F.col(vector).alias("v"))).alias("__asked")
+    )
+    sent = keys.select(value, vector, F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("__block"))
+    if 8 * numbers <= _BROADCAST_BYTES:
+        met = sent.join(F.broadcast(blocks), "__block")
+    else:
+        met = lookup_join(sent, blocks, ["__block"], [vector])
+    asked = met.withColumn("__q", F.explode("__asked"))
     return asked.select(
         F.col("__q.id").alias(query), dot(F.col("__q.v"), F.col(vector)).alias("score"), value
     )

@@ -17,7 +17,7 @@ ORACLE: dict[str, str] = {}
 
 SEED = 42
 WINDOW = 8
-MERGES = 16
+MERGES = 128
 
 _tokenizers: dict[tuple[str, str], Tokenizer] = {}
 

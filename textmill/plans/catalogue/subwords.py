@@ -211,7 +211,7 @@ def bpe_compression_texts(t: Tables):
     )
 
 
-_SWEEP = [256, 260, 264, 272]
+_SWEEP = [256, 288, 320, 384]
 
 
 @query(
