@@ -170,3 +170,31 @@ def test_prefix_mean_and_concat(spark, docs):
     small = sq.concat_texts(texts, "g", " ", part_chars=4).orderBy("part").collect()
     assert " ".join(r.text for r in small) == "a b c" and len(small) == 2
     assert [r.text for r in sq.corpus_prefix(docs("abc", "def", "g"), 5).orderBy("doc_id").collect()] == ["abc", "de"]
+
+
+def test_splits_are_exact_when_rows_repeat(spark):
+    rows = spark.createDataFrame([(k % 4, None if k % 5 == 0 else k % 3) for k in range(100)], "a int, b int")
+    for ratio in (0.5, 0.73, 0.01):
+        got = splits.split_random(rows, ["a", "b"], ratio, 1)
+        assert got.columns == ["a", "b", "split"] and got.count() == 100
+        assert got.where("split = 'train'").count() == int(100 * ratio)
+    three = splits.split_three_way(rows, ["a"], (0.3, 0.3, 0.4), 1).groupBy("split").count().collect()
+    assert {r.split: r["count"] for r in three} == {"train": 30, "validation": 30, "test": 40}
+    ordered = splits.split_rows(rows, "a", 0.33)
+    assert ordered.where("split = 'train'").count() == 33
+    assert ordered.where("split = 'train' and a > 1").count() == 0
+    assert splits.split_random(rows.limit(0), ["a"], 0.5, 1).collect() == []
+    assert splits.split_rows(rows.limit(0), "a", 0.5).collect() == []
+
+
+def test_prefix_ends_inside_a_row(spark):
+    rows = [(3, "ccc"), (1, "aaaa"), (2, ""), (4, None), (5, "eeeee"), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    for chars in (0, 1, 4, 5, 7, 8, 12, 99):
+        left, want = chars, []
+        for key, text in sorted((r for r in rows if r[0] and r[1] is not None)):
+            if left > 0:
+                want.append((key, text[:left]))
+            left -= len(text)
+        got = sorted(tuple(r) for r in sq.corpus_prefix(docs, chars).collect())
+        assert got == want, chars

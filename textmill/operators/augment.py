@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textmill.functions.hashing import gaussian, uniform
+from textmill.functions.hashing import below, gaussian, uniform
 
 
 def add_noise(values: Column, key: str, level: float, seed: int) -> Column:
@@ -17,9 +17,8 @@ def add_noise_scalar(value: Column, key: str, level: float, seed: int) -> Column
 
 def mask(ids: Column, key: str, ratio: float, mask_value: int, seed: int) -> Column:
     """Each position replaced by the mask value with the given probability."""
-    return F.transform(
-        ids, lambda x, i: F.when(uniform(seed, key, i) < ratio, F.lit(mask_value)).otherwise(x)
-    )
+    hits = below(ratio, seed, key, ids)
+    return F.zip_with(ids, hits, lambda x, hit: F.when(hit, F.lit(mask_value)).otherwise(x))
 
 
 def shuffle_span(ids: Column, key: str, fraction: float, seed: int) -> Column:

@@ -17,9 +17,12 @@ from textmill.functions import tokens
 from textmill.functions.hashing import uniform
 from textmill.functions.lambdas import let
 from textmill.operators.joins import lookup_join
+from textmill.operators.ranking import rejoin
 from textmill.sources.storage import cut_lineage, fits
 
 _BROADCAST_ROWS = 500_000
+# Log-probabilities kept as one array (2 MB).
+_TABLE_CELLS = 250_000
 # Sampling steps between two written tables.
 _STEPS_PER_STAGE = 16
 
@@ -107,7 +110,8 @@ def log_probability(
     """Add (transitions, log_prob) to each row.
 
     Fewer than two tokens score 0; an id outside the vocabulary scores -infinity, and so
-    does a pair with no probability when smoothing is 0.
+    does a pair with no probability when smoothing is 0. Over a small vocabulary rows are
+    scored in place; otherwise scores are joined back by ``key``, which must then be unique.
     """
     size = F.coalesce(F.size(ids), F.lit(0))
     transitions = F.greatest(size - 1, F.lit(0))
@@ -117,15 +121,45 @@ def log_probability(
     out = df.withColumn("transitions", transitions)
     if not model.fitted:
         score = transitions * -F.ln(F.lit(float(model.vocab_size)))
+    elif model.vocab_size**2 <= _TABLE_CELLS:
+        out = out.withColumn("__cells", _cells(model, df.sparkSession))
+        place = lambda p: p["prev"] * model.vocab_size + p["next"]
+        score = F.aggregate(
+            tokens.adjacent_pairs(F.col(ids)), F.lit(0.0), lambda acc, p: acc + F.get("__cells", place(p))
+        )
     else:
-        out = out.join(_pair_scores(df, model, key, ids), key, "left")
+        out = rejoin(out, _pair_scores(df, model, key, ids), key, "left")
         score = F.coalesce(F.col("__score"), F.lit(0.0))
     value = (
         F.when(transitions == 0, F.lit(0.0))
         .when(unknown, F.lit(float("-inf")))
         .otherwise(score)
     )
-    return out.withColumn("log_prob", value).drop("__score")
+    return out.withColumn("log_prob", value).drop("__score", "__cells")
+
+
+def _log_p(model: BigramModel) -> Column:
+    """ln p of a pair from its ``n`` and ``row_sum``, null where it was not seen."""
+    n = F.coalesce("n", F.lit(0))
+    row_sum = F.coalesce("row_sum", F.lit(0)).cast("double")
+    if model.smoothing > 0:
+        p = _smoothed(model, n, row_sum)
+    else:
+        p = F.try_divide(n.cast("double"), row_sum)
+    # a pair without probability: ln gives null, which sum() would skip
+    return F.coalesce(F.ln(p), F.lit(float("-inf")))
+
+
+def _cells(model: BigramModel, spark: SparkSession) -> Column:
+    """ln p of every pair as one array, by prev * vocabulary size + next; at most _TABLE_CELLS."""
+    v = model.vocab_size
+    cell = F.col("id")
+    every = spark.range(v * v).select(
+        "id", F.floor(cell / v).cast("int").alias("prev"), (cell % v).cast("int").alias("next")
+    )
+    known = every.join(model.counts, ["prev", "next"], "left").join(row_sums(model), "prev", "left")
+    rows = known.select(F.struct("id", _log_p(model).alias("l")).alias("c"))
+    return rows.agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["l"]).alias("cells")).scalar()
 
 
 def _pair_scores(df: DataFrame, model: BigramModel, key: str, ids: str) -> DataFrame:
@@ -144,15 +178,7 @@ def _pair_scores(df: DataFrame, model: BigramModel, key: str, ids: str) -> DataF
         found = pairs(df, key, ids).groupBy(key, "prev", "next").agg(F.count("*").alias("times"))
         found = lookup_join(found, model.counts, ["prev", "next"], [key], "left")
         found = lookup_join(found, sums, ["prev"], [key, "next"], "left")
-    n = F.coalesce("n", F.lit(0))
-    row_sum = F.coalesce("row_sum", F.lit(0)).cast("double")
-    if model.smoothing > 0:
-        p = _smoothed(model, n, row_sum)
-    else:
-        p = F.try_divide(n.cast("double"), row_sum)
-    # a pair without probability: ln gives null, which sum() would skip
-    term = F.coalesce(F.ln(p), F.lit(float("-inf")))
-    return found.groupBy(key).agg(F.sum(F.col("times") * term).alias("__score"))
+    return found.groupBy(key).agg(F.sum(F.col("times") * _log_p(model)).alias("__score"))
 
 
 def perplexity(scored: DataFrame) -> DataFrame:
@@ -321,8 +347,16 @@ def _advance(state: DataFrame, key: str, chosen: Column) -> DataFrame:
 
 def _first_above(point: Column) -> Column:
     """The continuation whose running weight first exceeds the point (else the last one)."""
-    above = let(point, lambda p: F.filter("options", lambda o: o["cum"] > p))
-    return F.coalesce(F.get(above, F.lit(0))["next"], F.element_at("options", -1)["next"])
+    # the number of weights up to the point, found from its highest bit to its lowest
+    bits = F.sequence(F.floor(F.log2(F.size("options"))).cast("int"), F.lit(0), F.lit(-1))
+
+    def more(count: Column, bit: Column, p: Column) -> Column:
+        step = F.call_function("shiftleft", F.lit(1), bit)
+        within = F.get("options", count + step - 1)["cum"] <= p
+        return count + F.when(within, step).otherwise(F.lit(0))
+
+    count = let(point, lambda p: F.aggregate(bits, F.lit(0), lambda acc, bit: more(acc, bit, p)))
+    return F.coalesce(F.get("options", count)["next"], F.element_at("options", -1)["next"])
 
 
 def sample(

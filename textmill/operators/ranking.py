@@ -9,8 +9,11 @@ A bucket is a function of the row's own key, never of the physical partition, so
 passes agree even when a lost task is run again somewhere else.
 """
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -38,6 +41,8 @@ def with_order_bucket(df: DataFrame, key: str, buckets: int | None = None) -> Da
     wanted = [i / buckets for i in range(1, buckets)]
     error = max(0.25 / buckets, 1e-4)
     cuts = numeric.approxQuantile(_KEY, wanted, error) if wanted else []
+    if not cuts:  # no rows, or one bucket
+        return numeric.withColumn(_BUCKET, F.lit(0)).drop(_KEY)
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     bucketed = Bucketizer(
         splits=splits, inputCol=_KEY, outputCol=_BUCKET, handleInvalid="keep"
@@ -117,7 +122,116 @@ def ordered_rank(
     return ranked.withColumn(out, F.col(out).cast("long"))
 
 
-def rejoin(df: DataFrame, narrow: DataFrame, key: str) -> DataFrame:
+def cut_keys(bucketed: DataFrame, order: list[str], places: list[int]) -> list[Row | None]:
+    """For each 0-based place in an order, the order columns of the row there; None past the end.
+
+    ``__equals`` says how many rows before the place have the same order columns.
+    ``bucketed`` carries a bucket that follows the order. The buckets are counted (a few
+    thousand numbers at most) and only those that hold a place are ranked, so a cut in a very
+    large table moves almost none of it.
+    """
+    counts = bucketed.groupBy(_BUCKET).count().orderBy(F.col(_BUCKET).asc_nulls_first()).collect()
+    inside: list[tuple[int, int] | None] = []
+    for place in places:
+        left, found = max(place, 0), None
+        for row in counts:
+            if left < row["count"]:
+                found = (row[_BUCKET], left)
+                break
+            left -= row["count"]
+        inside.append(found)
+    held = sorted({bucket for bucket, _ in filter(None, inside)})
+    if not held:
+        return [None] * len(places)
+    inorder = W.partitionBy(_BUCKET).orderBy(*order)
+    rank, smaller = F.row_number().over(inorder) - 1, F.rank().over(inorder) - 1
+    ranked = bucketed.where(F.col(_BUCKET).isin(held)).select(
+        _BUCKET, *order, rank.alias("__rank"), (rank - smaller).alias("__equals")
+    )
+    wanted = [(F.col(_BUCKET) == b) & (F.col("__rank") == r) for b, r in filter(None, inside)]
+    rows = {(x[_BUCKET], x["__rank"]): x for x in ranked.where(reduce(or_, wanted)).collect()}
+    return [rows[at] if at else None for at in inside]
+
+
+def key_at_total(df: DataFrame, key: str, value: str, wanted: int) -> tuple | None:
+    """The key of the row at which the running total reaches ``wanted``, and what it lacked before it.
+
+    None when the whole table has less or ``wanted`` is not positive. Only the bucket that
+    holds the row is sorted.
+    """
+    if wanted <= 0:
+        return None
+    bucketed = with_order_bucket(df, key)
+    lacking = wanted
+    for row in bucketed.groupBy(_BUCKET).agg(F.sum(value).alias("total")).orderBy(_BUCKET).collect():
+        if lacking <= row.total:
+            inside = W.partitionBy(_BUCKET).orderBy(key).rowsBetween(W.unboundedPreceding, W.currentRow)
+            summed = bucketed.where(F.col(_BUCKET) == row[_BUCKET]).withColumn("sum", F.sum(value).over(inside))
+            there = summed.where(F.col("sum") >= lacking).orderBy("sum", key).first()
+            return there[key], lacking - (there["sum"] - there[value])
+        lacking -= row.total
+    return None
+
+
+def before(order: list[str], cut: Row | None) -> Column:
+    """Whether a row stands before a cut that ``cut_keys`` found; nulls stand first."""
+    if cut is None:
+        return F.lit(True)
+    smaller, same = F.lit(False), F.lit(True)
+    for name in order:
+        here, there = F.col(name), F.lit(cut[name])
+        if cut[name] is not None:
+            smaller = smaller | (same & (here.isNull() | (here < there)))
+        same = same & here.eqNullSafe(there)
+    return smaller
+
+
+def at(order: list[str], cut: Row | None) -> Column:
+    """Whether a row's order columns are those of a cut."""
+    if cut is None:
+        return F.lit(False)
+    return reduce(and_, [F.col(name).eqNullSafe(F.lit(cut[name])) for name in order])
+
+
+def labelled(
+    df: DataFrame, order: list[str], cuts: list[tuple[str, Row | None]], rest: str
+) -> DataFrame:
+    """Add ``split``: for each (label, cut) in turn, the rows before the cut; the others are ``rest``.
+
+    Labels are given in place. Only rows that equal a cut which divides equal rows are told
+    apart, by a hash of all their columns; they should not be very many.
+    """
+
+    def split(place: Column | None) -> Column:
+        out = None
+        for label, cut in cuts:
+            first = before(order, cut)
+            if place is not None and cut is not None:
+                first = first | (at(order, cut) & (place < cut["__equals"]))
+            out = F.when(first, label) if out is None else out.when(first, label)
+        return out.otherwise(rest)
+
+    divided = [cut for _, cut in cuts if cut is not None and cut["__equals"]]
+    if not divided:
+        return df.withColumn("split", split(None))
+    equal = reduce(or_, [at(order, cut) for cut in divided])
+    place = F.row_number().over(W.partitionBy(*order).orderBy(F.xxhash64(*df.columns))) - 1
+    few = df.where(equal).withColumn("__place", place).withColumn("split", split(F.col("__place")))
+    return df.where(~equal).withColumn("split", split(None)).unionByName(few.drop("__place"))
+
+
+def with_hash_bucket(df: DataFrame, keys: list[str], seed: int) -> DataFrame:
+    """Add ``__u``, a uniform drawn from the keys, and its bucket; even by construction."""
+    buckets = _bucket_total(df)
+    drawn = df.withColumn("__u", uniform(seed, *keys))
+    return drawn.withColumn(_BUCKET, F.floor(F.col("__u") * buckets).cast("int"))
+
+
+def without_bucket(df: DataFrame) -> DataFrame:
+    return df.drop(_BUCKET, "__u")
+
+
+def rejoin(df: DataFrame, narrow: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join a computed narrow table back to the wide rows it was computed from.
 
     The narrow table is written first, so its row count is known and the expressions below
@@ -125,7 +239,7 @@ def rejoin(df: DataFrame, narrow: DataFrame, key: str) -> DataFrame:
     """
     written = cut_lineage(narrow, "narrow")
     small = fits(written, _BROADCAST_ROWS)
-    return df.join(F.broadcast(written) if small else written, key)
+    return df.join(F.broadcast(written) if small else written, key, how)
 
 
 def hash_rank(
@@ -142,9 +256,7 @@ def hash_rank(
     so they are even by construction and no pass is needed to find the cuts. ``group_rows``
     names an extra column with the group's row count.
     """
-    buckets = _bucket_total(df)
-    drawn = df.withColumn("__u", uniform(seed, *keys))
-    drawn = drawn.withColumn(_BUCKET, F.floor(F.col("__u") * buckets).cast("int"))
+    drawn = with_hash_bucket(df, keys, seed)
     order = [F.col("__u"), *[F.col(k) for k in keys]]
     totals = {group_rows: out} if group_rows else None
     ranked = _accumulate(drawn, order, {out: F.lit(1)}, group or [], totals)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import tokens
 from textmill.functions.hashing import uniform
-from textmill.operators.ranking import rejoin, running_total, running_totals
+from textmill.operators.ranking import key_at_total, rejoin, running_total, running_totals
 from textmill.sources.storage import cut_lineage
 
 _BROADCAST_ROWS = 100_000
@@ -179,14 +179,19 @@ def pack(
 
 
 def corpus_prefix(df: DataFrame, chars: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The first ``chars`` characters of the corpus: whole rows in key order, the last one cut."""
-    usable = df.where(F.col(text).isNotNull())
-    placed = running_total(usable, key, F.length(text).cast("long"), "__offset")
-    left = F.lit(chars) - F.col("__offset")
-    kept = placed.where(left > 0).withColumn(
-        text, F.substring(F.col(text), F.lit(1), F.least(left, F.length(text)).cast("int"))
-    )
-    return kept.drop("__offset")
+    """The first ``chars`` characters of the corpus: whole rows in key order, the last one cut.
+
+    Sizes tell where the prefix ends, so the texts are only filtered by key and never moved.
+    Rows without a text or a key have no place and are left out.
+    """
+    usable = df.where(F.col(text).isNotNull() & F.col(key).isNotNull())
+    sizes = cut_lineage(usable.select(key, F.length(text).cast("long").alias("size")), "sizes")
+    last = key_at_total(sizes, key, "size", chars)
+    if last is None:
+        return usable if chars > 0 else usable.limit(0)
+    key_there, left = last
+    cut = F.when(F.col(key) == key_there, F.substring(text, 1, left)).otherwise(F.col(text))
+    return usable.where(F.col(key) <= key_there).withColumn(text, cut)
 
 
 def concat_texts(

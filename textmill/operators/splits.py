@@ -6,31 +6,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import tokens
-from textmill.operators.ranking import hash_rank, ordered_rank, rejoin, running_total
+from textmill.operators.ranking import (
+    cut_keys,
+    hash_rank,
+    labelled,
+    rejoin,
+    running_total,
+    with_hash_bucket,
+    with_order_bucket,
+    without_bucket,
+)
 from textmill.operators.sequences import window_index
 from textmill.sources.storage import cut_lineage
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
 
-def _rows(df: DataFrame) -> Column:
-    return df.agg(F.count("*").alias("n")).scalar()
-
-
 def _check_ratio(ratio: float) -> None:
     if not 0 < ratio < 1:
         raise ValueError("split ratio must be between 0 and 1")
 
 
-def _labelled(df: DataFrame, rank: str, train_rows: Column) -> DataFrame:
-    split = F.when(F.col(rank) < train_rows, F.lit(TRAIN)).otherwise(F.lit(VALIDATION))
-    return df.withColumn("split", split).drop(rank)
-
-
 def split_rows(df: DataFrame, key: str, train_ratio: float = 0.9) -> DataFrame:
-    """Label rows in key order: the first ``int(N * ratio)`` are train."""
-    ranked = ordered_rank(df, key, "__rank")
-    return _labelled(ranked, "__rank", F.floor(_rows(df) * F.lit(train_ratio)))
+    """Label rows in key order: the first ``int(N * ratio)`` are train.
+
+    Only the row at the cut is looked for; all rows are then labelled in place. Rows without
+    a key are not train.
+    """
+    keyed = with_order_bucket(df.select(key).where(F.col(key).isNotNull()), key)
+    cut = cut_keys(keyed, [key], [math.floor(df.count() * train_ratio)])[0]
+    out = labelled(df, [key], [(TRAIN, cut)], VALIDATION)
+    return out.withColumn("split", F.when(F.col(key).isNull(), VALIDATION).otherwise(F.col("split")))
 
 
 def with_train_items(
@@ -87,10 +93,15 @@ def split_tokens(
 
 
 def split_random(df: DataFrame, keys: list[str], ratio: float, seed: int) -> DataFrame:
-    """Label rows at random: exactly ``int(N * ratio)`` are train."""
+    """Label rows at random: exactly ``int(N * ratio)`` are train.
+
+    The order depends on ``keys``; the labels are given in place, as in ``split_rows``.
+    """
     _check_ratio(ratio)
-    ranked = hash_rank(df, keys, seed, "__rank")
-    return _labelled(ranked, "__rank", F.floor(_rows(df) * F.lit(ratio)))
+    drawn = with_hash_bucket(df, keys, seed)
+    order = ["__u", *keys]
+    cut = cut_keys(drawn, order, [math.floor(df.count() * ratio)])[0]
+    return without_bucket(labelled(drawn, order, [(TRAIN, cut)], VALIDATION))
 
 
 def split_three_way(
@@ -99,13 +110,12 @@ def split_three_way(
     """Label rows train / validation / test; the first two are floored, test is the rest."""
     if abs(math.fsum(ratios) - 1.0) >= 1e-6:
         raise ValueError("ratios must sum to 1")
-    total = _rows(df)
-    train = F.floor(total * F.lit(ratios[0]))
-    both = train + F.floor(total * F.lit(ratios[1]))
-    ranked = hash_rank(df, keys, seed, "__rank")
-    rank = F.col("__rank")
-    split = F.when(rank < train, TRAIN).when(rank < both, VALIDATION).otherwise(TEST)
-    return ranked.withColumn("split", split).drop("__rank")
+    total = df.count()
+    train, validation = (math.floor(total * r) for r in ratios[:2])
+    drawn = with_hash_bucket(df, keys, seed)
+    order = ["__u", *keys]
+    first, second = cut_keys(drawn, order, [train, train + validation])
+    return without_bucket(labelled(drawn, order, [(TRAIN, first), (VALIDATION, second)], TEST))
 
 
 def split_stratified(
@@ -117,5 +127,6 @@ def split_stratified(
     """
     _check_ratio(ratio)
     ranked = hash_rank(df, keys, seed, "__rank", [label], "__class_rows")
-    cut = F.floor(F.col("__class_rows") * F.lit(ratio))
-    return _labelled(ranked, "__rank", cut).drop("__class_rows")
+    train = F.col("__rank") < F.floor(F.col("__class_rows") * F.lit(ratio))
+    split = F.when(train, F.lit(TRAIN)).otherwise(F.lit(VALIDATION))
+    return ranked.withColumn("split", split).drop("__rank", "__class_rows")

@@ -1,7 +1,8 @@
 """Registration of queries, table access, and SQL fragments that several checks share."""
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,15 @@ def digest(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
+def weighed(ids: str, length: int) -> Column:
+    """A sum over arrays of one length in which the value and the place of each id count.
+
+    Written without a lambda: one would end the generated code, and each window's row would
+    then carry a copy of its document.
+    """
+    return F.sum(reduce(add, [F.get(ids, F.lit(i)).cast("long") * (i + 1) for i in range(length)]))
+
+
 # --- SQL fragments ----------------------------------------------------------------------
 
 
@@ -106,6 +116,11 @@ def sql_gaussian(seed: int, *keys: str) -> str:
     return f"(sqrt(-2.0 * ln(1.0 - {radius})) * cos(2.0 * pi() * {angle}))"
 
 
+def sql_weighed(ids: str, start: str, length: int) -> str:
+    """The weighed value of the ``length`` ids that begin at a 0-based place."""
+    return "(" + " + ".join(f"{ids}[{start} + {k}]::BIGINT * {k}" for k in range(1, length + 1)) + ")"
+
+
 def sql_digest(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 8))::UBIGINT::BIGINT"
 

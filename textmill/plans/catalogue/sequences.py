@@ -15,6 +15,8 @@ from textmill.plans.catalogue.base import (
     spaced,
     sql_digest,
     sql_uniform,
+    sql_weighed,
+    weighed,
 )
 
 # Windows multiply the data by their length. These queries build every window of every
@@ -164,9 +166,9 @@ def adjacent_pairs(t: Tables):
     f"""WITH {SQL_ENCODED}, {_PLACES},
     w AS (SELECT doc_id, ids, before, unnest(range(0, n)) AS i FROM places),
     s AS (SELECT doc_id, CASE WHEN before + i < floor((SELECT sum(n) FROM places) * (1 - 0.1::DOUBLE))
-        THEN 'train' ELSE 'validation' END AS split, i, ids[i + {_L} + 1] AS target FROM w)
+        THEN 'train' ELSE 'validation' END AS split, i, {sql_weighed('ids', 'i', _L)} AS input, ids[i + {_L} + 1] AS target FROM w)
     SELECT doc_id, split, count(*) AS windows, min(i)::INTEGER AS first_start, max(i)::INTEGER AS last_start,
-      sum(target)::BIGINT AS target_sum FROM s GROUP BY doc_id, split""",
+      sum(target)::BIGINT AS target_sum, sum(input)::BIGINT AS input_sum FROM s GROUP BY doc_id, split""",
 )
 def split_contiguous(t: Tables):
     out = splits.split_windows(t.encoded, _L, 0.1)
@@ -175,6 +177,7 @@ def split_contiguous(t: Tables):
         F.min("start").alias("first_start"),
         F.max("start").alias("last_start"),
         F.sum("target").alias("target_sum"),
+        weighed("input", _L).alias("input_sum"),
     )
 
 

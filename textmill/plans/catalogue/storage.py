@@ -22,6 +22,8 @@ from textmill.plans.catalogue.base import (
     sql_subwords,
     sql_training,
     sql_uniform,
+    sql_weighed,
+    weighed,
 )
 from textmill.sources import store, text
 from textmill.streaming import arrivals
@@ -111,7 +113,7 @@ _SPLIT_SQL = f"""places AS (
     ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM enc),
 w AS (SELECT doc_id, ids, before, unnest(range(0, n)) AS i FROM places),
 s AS (SELECT CASE WHEN before + i < floor((SELECT sum(n) FROM places) * (1 - 0.1::DOUBLE))
-    THEN 'train' ELSE 'validation' END AS split, doc_id, i, ids[i + {WINDOW} + 1] AS target FROM w)"""
+    THEN 'train' ELSE 'validation' END AS split, doc_id, i, {sql_weighed('ids', 'i', WINDOW)} AS input, ids[i + {WINDOW} + 1] AS target FROM w)"""
 
 
 def _saved_splits(t: Tables) -> store.Dataset:
@@ -123,24 +125,26 @@ def _saved_splits(t: Tables) -> store.Dataset:
 @query(
     "sink_splits",
     f"""WITH {SQL_ENCODED}, {_SPLIT_SQL} SELECT split, doc_id, count(*) AS windows,
-      sum(target)::BIGINT AS target_sum FROM s GROUP BY split, doc_id""",
+      sum(target)::BIGINT AS target_sum, sum(input)::BIGINT AS input_sum FROM s GROUP BY split, doc_id""",
 )
 def sink_splits(t: Tables):
     return _saved_splits(t).splits().groupBy("split", "doc_id").agg(
-        F.count("*").alias("windows"), F.sum("target").alias("target_sum")
+        F.count("*").alias("windows"), F.sum("target").alias("target_sum"), weighed("input", WINDOW).alias("input_sum")
     )
 
 
 @query(
     "load_train_val",
     f"""WITH {SQL_ENCODED}, {_SPLIT_SQL} SELECT split, count(*) AS windows, count(DISTINCT doc_id) AS documents,
-      sum(i)::BIGINT AS start_sum, sum(target)::BIGINT AS target_sum FROM s GROUP BY split""",
+      sum(i)::BIGINT AS start_sum, sum(target)::BIGINT AS target_sum, sum(input)::BIGINT AS input_sum
+    FROM s GROUP BY split""",
 )
 def load_train_val(t: Tables):
     train, validation = _saved_splits(t).train_and_validation()
     summary = [
         F.count("*").alias("windows"), F.countDistinct("doc_id").alias("documents"),
         F.sum("start").alias("start_sum"), F.sum("target").alias("target_sum"),
+        weighed("input", WINDOW).alias("input_sum"),
     ]
     return train.groupBy("split").agg(*summary).unionByName(validation.groupBy("split").agg(*summary))
 

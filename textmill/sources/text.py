@@ -1,9 +1,11 @@
 """Reading raw text files."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.operators.ranking import hash_rank
+from textmill.operators.ranking import at, before, cut_keys, hash_rank, with_hash_bucket, without_bucket
 
 _REPLACEMENT = "�"
 
@@ -80,7 +82,13 @@ def sample_lines(
     """A random ``int(N * fraction)`` of the lines without replacement, in random order.
 
     ``rank`` is a line's place in the sample; ``first`` keeps only the head of the sample.
+    Only lines of the sample are ranked.
     """
-    size = F.floor(lines.agg(F.count("*").alias("n")).scalar() * F.lit(fraction))
-    ranked = hash_rank(lines, keys, seed, "rank").where(F.col("rank") < size)
-    return ranked if first is None else ranked.where(F.col("rank") < first)
+    size = math.floor(lines.count() * fraction)
+    if first is not None:
+        size = min(size, first)
+    drawn = with_hash_bucket(lines, keys, seed)
+    order = ["__u", *keys]
+    cut = cut_keys(drawn, order, [size])[0]
+    sample = without_bucket(drawn.where(before(order, cut) | at(order, cut)))
+    return hash_rank(sample, keys, seed, "rank").where(F.col("rank") < size)
