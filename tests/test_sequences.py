@@ -198,3 +198,17 @@ def test_prefix_ends_inside_a_row(spark):
             left -= len(text)
         got = sorted(tuple(r) for r in sq.corpus_prefix(docs, chars).collect())
         assert got == want, chars
+
+
+def test_rows_without_a_group_are_kept(spark):
+    rows = [(k, (None, "a", "b")[k % 3], f"t{k}", 1.0) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id int, source string, text string, value double")
+    split = splits.split_stratified(df, "source", ["doc_id"], 0.8, 1)
+    counts = {(r.source, r.split): r["count"] for r in split.groupBy("source", "split").count().collect()}
+    assert counts == {(s, p): n for s in (None, "a", "b") for p, n in (("train", 16), ("validation", 4))}
+    joined = {(r.source, r.part): r.text for r in sq.concat_texts(df, "source", " ", part_chars=30).collect()}
+    for s in (None, "a", "b"):
+        own = " ".join(joined[key] for key in sorted((k for k in joined if k[0] == s), key=lambda k: k[1]))
+        assert own == " ".join(t for _, source, t, _ in rows if source == s)
+    means = sq.causal_prefix_mean(df, "source", "doc_id", "value").collect()
+    assert len(means) == 60 and all(r.prefix_mean == 1.0 for r in means)

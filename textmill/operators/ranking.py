@@ -71,9 +71,9 @@ def _accumulate(
     )
     whole = W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
     before = whole.orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
+    # rows without a group are a group too, so the join must match nulls
     carried = sums.select(
-        *group,
-        _BUCKET,
+        *[F.col(c).alias(f"__on_{c}") for c in (*group, _BUCKET)],
         *[
             F.coalesce(F.sum(f"__total_{out}").over(before), F.lit(0)).alias(f"__before_{out}")
             for out in values
@@ -84,10 +84,12 @@ def _accumulate(
     ranked = df.select(
         "*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(out) for out, v in values.items()]
     )
-    joined = ranked.join(carried if group else F.broadcast(carried), [*group, _BUCKET])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__on_{c}")) for c in (*group, _BUCKET)])
+    joined = ranked.join(carried if group else F.broadcast(carried), same)
     for out in values:
         joined = joined.withColumn(out, F.col(out) + F.col(f"__before_{out}"))
-    return joined.drop(_BUCKET, *[f"__before_{out}" for out in values])
+    helpers = [f"__on_{c}" for c in (*group, _BUCKET)] + [f"__before_{out}" for out in values]
+    return joined.drop(_BUCKET, *helpers)
 
 
 def running_totals(
