@@ -139,6 +139,7 @@ enc AS MATERIALIZED (
   JOIN vocab USING (ch) GROUP BY doc_id)"""
 )
 
+# Fixed value: the chunk pattern in the dialect of the check.
 # RE2 has no possessive quantifiers and no look-ahead; on these texts, which never have two
 # whitespace characters in a row, the plain form matches the same chunks.
 SQL_GPT4 = (

@@ -14,6 +14,7 @@ from textmill.plans.catalogue.base import (
     sql_gaussian,
     sql_uniform,
 )
+from textmill.sources.storage import cut_lineage
 from textmill.sources.store import DatasetOptions
 
 
@@ -55,9 +56,30 @@ def report_stats_prices(t: Tables):
     return out.withColumns({c: F.round(c, 4) for c in ["min", "max", "mean", "std", "median"]})
 
 
-@query("report_stats_approximate")
+@query(
+    "report_stats_approximate",
+    """SELECT count(value) AS rows, round(min(value), 6) AS min, round(max(value), 6) AS max,
+      round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(var_pop(value), 6) AS variance,
+      true AS median_near, true AS unique_values_near FROM events""",
+)
 def report_stats_approximate(t: Tables):
-    return statistics.approximate_report(t("events").select("value"), "value")
+    """The approximate values as flags: the median's rank within 1% of the rows of the middle,
+    the distinct values within 15%, which is three standard errors of the sketch."""
+    values = t("events").select("value").where(F.col("value").isNotNull())
+    out = cut_lineage(statistics.approximate_report(values, "value"), "report")
+    median = out.select("median").scalar()
+    facts = values.agg(
+        F.count_distinct("value").alias("distinct"),
+        F.avg((F.col("value") < median).cast("double")).alias("below"),
+        F.avg((F.col("value") <= median).cast("double")).alias("upto"),
+    )
+    floats = ["min", "max", "mean", "std", "variance"]
+    return out.withColumns({c: F.round(c, 6) for c in floats}).select(
+        "rows",
+        *floats,
+        ((facts.select("below").scalar() <= 0.51) & (facts.select("upto").scalar() >= 0.49)).alias("median_near"),
+        (F.abs(F.col("unique_values") / facts.select("distinct").scalar() - 1) <= 0.15).alias("unique_values_near"),
+    )
 
 
 @query(
