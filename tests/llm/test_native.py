@@ -56,6 +56,32 @@ def test_chunks_join_up_and_repeats_go(table, spark):
     assert line_chunks.dedup(table([])).count() == 0
 
 
+def test_repeated_passages_of_any_length_go_whole(table, monkeypatch):
+    draw = random.Random(3)
+    lines = lambda n: [f"line {draw.random()}" for _ in range(n)]
+    passages = {n: lines(n) for n in range(2, 16)}
+    rows = [(n, "\n".join([*lines(2), "", *p, "", *lines(2)])) for n, p in passages.items()]
+    own = {n: (lines(2), lines(2)) for n in passages}
+    rows += [(100 + n, "\n".join([*own[n][0], *p[:2], "", *p[2:], *own[n][1]])) for n, p in passages.items()]
+    rows += [(200 + n, "\n".join([*own[n][1], "\n", *p, *own[n][0]])) for n, p in passages.items()]
+    single = rows[0][1].split("\n")[0]
+    rows += [(300, "\n".join(["before", single, "after"])), (301, "same\nsame\nsame\nsame")]
+    texts = {r.doc_id: r.text for r in line_chunks.dedup(table(rows)).collect()}
+    assert all(texts[d] == t for d, t in rows if d < 100 or d == 300)
+    for n, p in passages.items():
+        # a blank line parts the copy: behind it nothing, one line that is alone, or a passage is left
+        assert texts[100 + n].split("\n") == [*own[n][0], *([""] if n < 4 else []), *(p[2:] if n == 3 else []), *own[n][1]]
+        assert texts[200 + n].strip() == ""
+    seen = Counter(line for t in texts.values() for line in t.split("\n") if line)
+    assert set(seen) == {line for _, t in rows for line in t.split("\n") if line.strip()} and seen["same"] == 1
+    kept = {r.doc_id for r in line_chunks.drop_repeated(table(rows)).collect()}
+    assert kept == {d for d, _ in rows if not 200 <= d < 300}
+    monkeypatch.setattr(line_chunks, "_BROADCAST_HASHES", 0)
+    again = table([*rows, (None, rows[0][1]), (2, rows[0][1])])
+    shuffled = {r.doc_id: r.text for r in line_chunks.dedup(again).collect()}
+    assert shuffled == texts | {None: rows[0][1], 2: ""}
+
+
 def test_mixing_equals_sql_and_meets_targets(table, odd):
     draw = random.Random(2)
     rows = [(d, t, "en", draw.choice(["a", "b", None])) for d, t in odd if d is not None]

@@ -1,18 +1,21 @@
 """Line deduplication in content-defined chunks, by DataFrame operations only.
 
-A text is cut at newlines. A rolling hash over the hashes of the last ``WINDOW`` lines closes a
-chunk wherever it is divisible by ``DIVISOR``; as the choice depends on those lines alone, the
-same passage is cut at the same places wherever it stands. A chunk counts if it has two or more
-lines with a character other than white space.
-
-Chunks are first counted by a 64-bit hash of their bytes. Only chunks whose hash repeats are
-read again with their text, and they are grouped by the text itself, so chunks are removed
-after their bytes were compared and never on a hash. The first chunk by (doc_id, place) stays;
-the others are cut out of their documents.
+A text is cut behind every line with a character other than white space, so a chunk is such a
+line with the blank lines before it; as the choice depends on the line alone, the same passage
+is cut at the same places wherever it stands. Two neighbouring lines and the blank lines between
+them are a pair. A pair that stands earlier in the corpus is a repeat, and both its chunks are
+cut out: every run of two or more lines that is repeated goes as a whole, whatever its length
+and whatever stands around it.
+
+Pairs are first counted by a 64-bit hash of their bytes. Only pairs whose hash repeats are read
+again with their text, and they are grouped by the text itself, so chunks are removed after
+their bytes were compared and never on a hash. The first pair by (doc_id, place) stays, and with
+it the first copy of every line: a pair with a line's first copy has no earlier equal.
 
 Defined results: a null text stays null, with no lines; an empty text is one line and stays.
 Rows with the same doc_id and the same text are one document here, so both stay as they are
-left; ids that are null sort before others. Equal chunks within a document count as repeats.
+left; ids that are null sort before others. Equal pairs within a document count as repeats. The
+blank lines before a removed line go with it.
 Columns other than doc_id and text pass through untouched.
 """
 
@@ -23,25 +26,18 @@ from textmill.functions.lambdas import let
 from textmill.operators.joins import lookup_join
 from textmill.sources.storage import cut_lineage, fits
 
-WINDOW = 2
-DIVISOR = 4
-MIN_LINES = 2
 _BROADCAST_HASHES = 1_000_000  # of 8 bytes each
+_SOLID = r"\S"
 
 
-def chunk_array(text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
+def chunk_array(text: Column) -> Column:
     """ARRAY<STRING> of the chunks; joined by newlines they are the text."""
 
-    def bounds(lines: Column, hashes: Column) -> Column:
-        def closes(i: Column) -> Column:
-            seen = [F.get(hashes, i - k) for k in range(window)]
-            return (i >= window - 1) & (F.pmod(F.xxhash64(*seen), F.lit(divisor)) == 0)
-
+    def cut(lines: Column) -> Column:
         last = F.size(lines) - 1
-        inner = F.filter(F.sequence(F.lit(0), last), lambda i: (i < last) & closes(i))
-        ends = F.concat(inner, F.array(last))
+        inner = F.filter(F.sequence(F.lit(0), last), lambda i: (i < last) & F.get(lines, i).rlike(_SOLID))
         return let(
-            ends,
+            F.concat(inner, F.array(last)),
             lambda e: F.transform(
                 e,
                 lambda end, k: F.array_join(
@@ -54,39 +50,53 @@ def chunk_array(text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> C
             ),
         )
 
-    return let(
-        F.split(text, "\n"),
-        lambda lines: let(F.transform(lines, lambda x: F.xxhash64(x)), lambda h: bounds(lines, h)),
-    )
+    return let(F.split(text, "\n"), cut)
+
+
+def _pair_array(text: Column) -> Column:
+    """ARRAY<STRING>: each chunk with the next one, without the blank lines before them."""
 
+    def pairs(chunks: Column) -> Column:
+        # only the last chunk may be blank
+        n = F.size(chunks) - F.when(F.element_at(chunks, -1).rlike(_SOLID), 0).otherwise(1)
+        first, second = F.slice(chunks, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(chunks, F.lit(2), F.greatest(n - 1, F.lit(0)))
+        return F.zip_with(first, second, lambda a, b: F.concat(F.regexp_replace(a, r"^\s*\n", ""), F.lit("\n"), b))
 
-def _counts(chunk: Column) -> Column:
-    """Whether a chunk has several lines with a character other than white space."""
-    return F.regexp_count(chunk, F.lit(r"(?m)^[^\n]*[^\s]")) >= MIN_LINES
+    return let(chunk_array(text), pairs)
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, place, chunk, h) of every chunk that counts. th tells texts of one id apart."""
+def _pairs(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, place, pair, h) of every pair. th tells texts of one id apart."""
     own = docs.where(F.col("text").contains("\n")).select(
-        "doc_id", F.xxhash64("text").alias("th"), F.posexplode(chunk_array(F.col("text"))).alias("place", "chunk")
+        "doc_id", F.xxhash64("text").alias("th"), F.posexplode(_pair_array(F.col("text"))).alias("place", "pair")
     )
-    return own.where(_counts(F.col("chunk"))).withColumn("h", F.xxhash64("chunk"))
+    return own.withColumn("h", F.xxhash64("pair"))
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, place): the chunks to remove."""
+def _fetched(docs: DataFrame, again: DataFrame) -> DataFrame:
+    """(doc_id, th, place, pair) of the pairs whose hash repeats; no other text goes through a shuffle."""
+    hits = lookup_join(_pairs(docs).drop("pair"), again.select("h"), ["h"], ["doc_id", "th", "place"], counts=again)
+    at = hits.groupBy(F.col("doc_id").alias("id"), F.col("th").alias("th_")).agg(F.collect_set("place").alias("at"))
+    own = docs.join(at, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("th_")))
+    pairs = let(
+        F.struct(_pair_array(F.col("text")).alias("p"), F.col("at").alias("at")),
+        lambda s: F.transform(s.at, lambda k: F.struct(k.alias("place"), F.get(s.p, k).alias("pair"))),
+    )
+    return own.select("doc_id", F.col("th_").alias("th"), F.inline(pairs))
+
+
+def repeated_pairs(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, place): the first chunk of each pair to remove."""
     docs = docs.select("doc_id", "text")
-    again = _chunks(docs).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    again = cut_lineage(again, "hashes")
+    again = cut_lineage(_pairs(docs).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "hashes")
     few = fits(again, _BROADCAST_HASHES)
-    held = cut_lineage(
-        _chunks(docs).join(F.broadcast(again) if few else again, "h", "left_semi").drop("h"), "chunks"
-    )
+    held = _pairs(docs).join(F.broadcast(again), "h", "left_semi").drop("h") if few else _fetched(docs, again)
+    held = cut_lineage(held, "pairs")
     place = F.struct("doc_id", "th", "place")
-    first = held.groupBy("chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = held.groupBy("pair").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     first = cut_lineage(first, "first")
-    # a chunk in a third of all documents is spread over all tasks
-    found = lookup_join(held, first.drop("n"), ["chunk"], ["doc_id", "th", "place"], counts=first.drop("first"))
+    # a pair in a third of all documents is spread over all tasks
+    found = lookup_join(held, first.drop("n"), ["pair"], ["doc_id", "th", "place"], counts=first.drop("first"))
     return found.where(place != F.col("first")).select("doc_id", "th", "place")
 
 
@@ -95,8 +105,9 @@ def dedup(docs: DataFrame, detail: bool = False) -> DataFrame:
 
     With ``detail``, only (doc_id, text, n_removed, n_chars_removed) are returned.
     """
-    gone = repeated_chunks(docs).groupBy("doc_id", "th").agg(F.collect_set("place").alias("__gone"))
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "__gone")
+    gone = repeated_pairs(docs).groupBy("doc_id", "th").agg(F.collect_set("place").alias("p"))
+    both = F.array_distinct(F.concat("p", F.transform("p", lambda k: k + 1)))
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), both.alias("__gone"))
     if detail:
         docs = docs.select("doc_id", "text")
     joined = docs.join(
@@ -104,7 +115,9 @@ def dedup(docs: DataFrame, detail: bool = False) -> DataFrame:
     )
     left = let(
         F.struct(chunk_array(F.col("text")).alias("c"), F.col("__gone").alias("g")),
-        lambda s: F.array_join(F.filter(s.c, lambda _, k: ~F.array_contains(s.g, k)), "\n"),
+        lambda s: F.array_join(
+            F.transform(F.array_except(F.sequence(F.lit(0), F.size(s.c) - 1), s.g), lambda k: F.get(s.c, k)), "\n"
+        ),
     )
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left)
     if not detail:
@@ -125,6 +138,6 @@ def dedup(docs: DataFrame, detail: bool = False) -> DataFrame:
 
 def drop_repeated(docs: DataFrame) -> DataFrame:
     """``dedup`` without the documents that lost their whole text."""
-    had, has = "__had_text", (F.length(F.trim("text")) > 0)
+    had, has = "__had_text", F.col("text").rlike(_SOLID)
     marked = dedup(docs.withColumn(had, F.coalesce(has, F.lit(False))))
     return marked.where(~F.col(had) | has).select(docs.columns)
