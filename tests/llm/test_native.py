@@ -56,6 +56,25 @@ def test_chunks_join_up_and_repeats_go(table, spark):
     assert line_chunks.dedup(table([])).count() == 0
 
 
+def test_repeated_lines_or_words_alone_make_an_outlier(table, words):
+    def lined(own, n=8):
+        return "\n".join(" ".join(own[k : k + n]) for k in range(0, len(own), n))
+
+    rows = [(k, lined(words(k, 80 + k % 40))) for k in range(300)]
+    # one line again in a text of few lines is not extreme
+    rows += [(500 + k, "\n".join([lined(words(k + 500, 90), 30), " ".join(words(k + 500, 8))])) for k in range(3)]
+    rows += [(1000 + k, "\n".join(f"{w}\nabcde\nbcde" for w in words(k + 1000, 30))) for k in range(3)]
+    for k in range(3):
+        own, twice = words(k + 2000, 50), words(k + 3000, 24)
+        rows.append((2000 + k, lined([*twice, *own, *twice])))
+    got = {r.doc_id: r for r in outliers.rules(table(rows)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[d].n_dup_lines == 58 and got[d].n_repeat_words == 0 for d in range(1000, 1003))
+    assert all(got[d].n_dup_lines == 0 and got[d].n_repeat_words == 48 for d in range(2000, 2003))
+    assert not any(got[d].kept for d in got if d >= 1000)
+    assert sum(r.kept for d, r in got.items() if d < 300) >= 297 and all(got[d].kept for d in range(500, 503))
+
+
 def test_repeated_passages_of_any_length_go_whole(table, monkeypatch):
     draw = random.Random(3)
     lines = lambda n: [f"line {draw.random()}" for _ in range(n)]

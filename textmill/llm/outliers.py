@@ -14,7 +14,8 @@ medians and the nearest share come from counts in bins, mean and covariance from
 sums, so a group with a third of all rows is only partial sums, and reruns agree.
 
 A variance floor for each statistic keeps the estimates regular where most documents have the
-same value. Groups of fewer than ``MIN_GROUP`` documents use the estimate of their language over
+same value. Shares of repeated lines and words are angles, arcsin of the root, so that the floors
+leave room for an extreme value of either to exceed the cut-off by itself. Groups of fewer than ``MIN_GROUP`` documents use the estimate of their language over
 all sources; if that is as small, their documents are kept.
 
 Defined results: a null or empty text has no words and fails the base rules. A null language or
@@ -40,7 +41,12 @@ CUTOFF = 24.0  # the 0.9998 quantile of chi-square with 5 degrees of freedom
 # statistics are integers of thousandths, so that sums are exact
 UNIT = 1000
 NAMES = ("t_length", "t_word", "t_symbols", "t_lines", "t_repeats")
-FLOORS = (0.3, 0.06, 0.5, 0.25, 0.2)
+# an extreme value of any one statistic must exceed the cut-off by itself where the group has no
+# scatter: the last two do with four in ten of a long text, and with less when both are high
+FLOORS = (0.3, 0.06, 0.5, 0.14, 0.14)
+# added to the whole of a share, so that one repeated line in a text of few lines is not extreme
+PRIOR_LINES = 4
+PRIOR_WORDS = 10
 # covariance of the nearest three quarters of a normal sample in 5 dimensions, to that of all
 CONSISTENCY = 1.41
 _PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
@@ -113,14 +119,19 @@ def statistics(docs: DataFrame) -> DataFrame:
     )
 
 
+def _angle(part: Column, whole: Column) -> Column:
+    """A share as an angle from 0 to pi/2: its variance no longer depends on the share."""
+    return F.asin(F.sqrt(part / whole))
+
+
 def _transformed() -> list[Column]:
     words, chars = F.col("n_words") + 1, F.col("word_chars") + 1
     values = [
         F.ln(words),
         F.ln(chars / words),
         F.ln(1 + 100 * F.col("n_symbols") / chars),
-        F.col("n_dup_lines") / (F.col("n_lines") + 1),
-        F.col("n_repeat_words") / words,
+        _angle(F.col("n_dup_lines"), F.col("n_lines") + PRIOR_LINES),
+        _angle(F.col("n_repeat_words"), F.col("n_words") + PRIOR_WORDS),
     ]
     return [F.round(v * UNIT).cast("long").alias(name) for v, name in zip(values, NAMES, strict=True)]
 
