@@ -147,6 +147,22 @@ def test_templates(spark, table):
     assert decontamination.contamination(docs, benchmark.limit(0)).collect() == []
 
 
+def _pairs(spark, table, items, texts):
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in decontamination.contamination(table(list(enumerate(texts))), benchmark).collect()}
+
+
+def test_one_altered_slot_does_not_clear_a_copy(spark, table, words):
+    a, b = (" ".join(words(s, 20)) for s in (1, 2))
+    item = f"on a day Tom met 12 men {a} and then Tom met 12 men {b} before Tom left with 5 apples and 3 pears"
+    texts = [
+        item.replace("then Tom", "then Tim"), item.replace("and then Tom met 12", "and then Tom met 13"),
+        item.replace("5 apples", "4 apples").replace("3 pears", "4 pears"),
+        item.replace("Tom", "Ann").replace("met 12", "met 77").replace("then Ann met 77", "then Ann met 78"),
+    ]
+    assert _pairs(spark, table, [item], [*texts, "on a day Tom met 12 men and left"]) == {(k, 0) for k in range(4)}
+
+
 def test_templates_without_the_sent_array(spark, table, monkeypatch):
     benchmark = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
     docs = table([(1, "A day. " + QUESTION), (2, "nothing of the kind")])

@@ -8,15 +8,16 @@ placeholders, whose words are kept aside as slot values:
 * a name is a capitalised word that does not begin a sentence or a line.
 
 Every run of ``WINDOW`` tokens of a benchmark item is hashed as a template; an item that is
-shorter is one window of its own length. Documents' windows are hashed the same way and joined
-on the hash. A matched window is aligned with its place in the item, and on one alignment the
-slots must be consistent: equal values in the item stand for equal values in the document, and
-different ones for different ones. A question asked again with other numbers or names matches;
+shorter is one window of its own length. Documents' windows are hashed the same way and joined on the hash. A matched window is
+aligned with its place in the item. On an alignment, a document's value stands for an item's
+value if it does so at more than half of its places; a window is consistent if each of its slots
+has the item's own value or one that stands for it.
+
+A document is contaminated by an item if one alignment has at least ``MIN_WINDOWS`` windows with
+the item's own words (all, if the item has fewer), or as many consistent template windows that
+are more than half of those matched. A question asked again with other numbers or names matches;
 a text that merely has numbers in the same places, but not the same ones twice, does not.
 
-A document is contaminated by an item if one alignment has at least ``MIN_WINDOWS`` matched
-windows (all, if the item has fewer) and consistent slots.
-
 The benchmark's window hashes are sent to the tasks as one sorted array if there are at most
 ``MAX_SENT`` of them (8 bytes each), so that only matching windows leave the scan; with more,
 all windows of the documents are joined by a shuffle. The result is the same.
@@ -76,7 +77,8 @@ def tokens(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.nda
     units = _word_hashes(UNITS)
     for first, last, data, offsets in runs(text):
         part = text.slice(first, last - first)
-        low = next(runs(pc.utf8_lower(pc.fill_null(part.cast(pa.large_string()), "")), 1 << 62))
+        lowered = pc.utf8_lower(pc.fill_null(part.cast(pa.large_string()), ""))
+        low = next(runs(lowered, 1 << 62))
         start, end, row = words(data, offsets)
         low_start, low_end, _ = words(low[2], low[3])
         # the core of each lower-cased word, from its first to its last letter or digit
@@ -129,9 +131,10 @@ _FIELDS = [
     ("place", pa.int32()),
     ("length", pa.int32()),
     ("total", pa.int32()),
+    ("usable", pa.int32()),
     ("slots", pa.list_(pa.int64())),
 ]
-_SCHEMA = "id long, h long, place int, length int, total int, slots array<long>"
+_SCHEMA = "id long, h long, place int, length int, total int, usable int, slots array<long>"
 
 
 def _emit(found: list[tuple]) -> pa.RecordBatch:
@@ -141,14 +144,16 @@ def _emit(found: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _listed(ids: np.ndarray, row, code, value, slot, length: int, h, at, totals) -> list[tuple]:
-    """A row for each window, its slot values by their place in the window (null: literal)."""
+def _listed(ids: np.ndarray, row, value, slot, length: int, h, at, totals, usable) -> list[tuple]:
+    """A row for each window, its slot values by their place in the window (null: literal; none for a plain window)."""
     begins = np.searchsorted(row, row[at])
     out = []
     for x, p, b in zip(h.view(np.int64).tolist(), at.tolist(), begins.tolist(), strict=True):
         own = slice(p, p + length)
-        slots = [v if s else None for v, s in zip(value[own].view(np.int64).tolist(), slot[own].tolist(), strict=True)]
-        out.append((int(ids[row[p]]), x, p - b, length, int(totals[row[p]]), slots))
+        slots = []
+        if slot is not None:
+            slots = [v if s else None for v, s in zip(value[own].view(np.int64).tolist(), slot[own].tolist(), strict=True)]
+        out.append((int(ids[row[p]]), x, p - b, length, int(totals[row[p]]), int(usable[row[p]]), slots))
     return out
 
 
@@ -159,7 +164,6 @@ def _item_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = ids[first:]
             size = np.bincount(row, minlength=int(row[-1]) + 1 if len(row) else 0)
             totals = np.maximum(size - WINDOW + 1, 1)
-            found = []
             # the first word of an item may be a name where the item is quoted inside a sentence
             heads = np.searchsorted(row, np.arange(len(size)))
             variants = [(code, slot)]
@@ -168,18 +172,30 @@ def _item_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 heads = heads[size > 0]
                 as_name[heads], named[heads] = _NAME, True
                 variants.append((as_name, named))
-            for k, (codes, slots) in enumerate(variants):
-                for length in {WINDOW, *size[(size >= MIN_TOKENS) & (size < WINDOW)].tolist()}:
+            held = []
+            template = np.zeros(len(row), bool)
+            for length in {WINDOW, *size[(size >= MIN_TOKENS) & (size < WINDOW)].tolist()}:
+                for k, (codes, slots) in enumerate(variants):
                     h, at = _windows(row, codes, slots, length)
                     whole = (size[row[at]] >= WINDOW) if length == WINDOW else (size[row[at]] == length)
-                    if k:
-                        whole &= np.isin(at, heads)
-                    found += _listed(own, row, codes, value, slots, length, h[whole], at[whole], totals)
+                    if slots is not None:
+                        if k:
+                            whole &= np.isin(at, heads)
+                        template[at[whole]] = True
+                    held.append((slots, length, h[whole], at[whole]))
+            # places whose window can match with other slot values
+            usable = np.bincount(row[template], minlength=len(size))
+            found = []
+            for slots, length, h, at in held:
+                found += _listed(own, row, value, slots, length, h, at, totals, usable)
             yield _emit(found)
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(id, h, place, length, total, slots) of the items' windows; total is their number."""
+    """(id, h, place, length, total, usable, slots) of the items' windows.
+
+    total is the number of an item's places, and usable of those with a template window.
+    """
     items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long"), "text").distinct()
     return cut_lineage(items.mapInArrow(_item_task, _SCHEMA), "items")
 
@@ -189,25 +205,55 @@ def _document_windows(docs: DataFrame, lengths: list[int], wanted: np.ndarray |
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for first, row, code, value, slot in tokens(batch.column(1)):
+                none = np.zeros(int(row[-1]) + 1 if len(row) else 0, np.int64)
                 for length in lengths:
-                    h, at = _windows(row, code, slot, length)
-                    if wanted is not None:
-                        where = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
-                        hit = wanted[where] == h
-                        h, at = h[hit], at[hit]
-                    if len(h):
-                        totals = np.zeros(int(row[-1]) + 1, np.int64)
-                        yield _emit(_listed(ids[first:], row, code, value, slot, length, h, at, totals))
+                    for slots in (slot,):
+                        h, at = _windows(row, code, slots, length)
+                        if wanted is not None:
+                            where = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
+                            hit = wanted[where] == h
+                            h, at = h[hit], at[hit]
+                        if len(h):
+                            yield _emit(_listed(ids[first:], row, value, slots, length, h, at, none, none))
 
     own = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
     return own.mapInArrow(task, _SCHEMA)
 
 
+def _judge(windows: list[dict], total: int, usable: int) -> tuple[bool, int, bool]:
+    """(contaminated, consistent windows, all verbatim) of the matched windows of one alignment."""
+    votes: dict[int, dict[int, set[int]]] = {}
+    listed = []
+    for w in windows:
+        own = [(w["place"] + k, a, b) for k, (a, b) in enumerate(zip(w["slots"], w["values"])) if a is not None]
+        listed.append((w["place"], own))
+        for at, a, b in own:
+            votes.setdefault(a, {}).setdefault(b, set()).add(at)
+    # a value stands for the item's if it does so at more than half of the places
+    stands = set()
+    for a, found in votes.items():
+        places = len(set().union(*found.values()))
+        stands |= {(a, b) for b, at in found.items() if 2 * len(at) > places}
+    verbatim = {p for p, own in listed if all(a == b for _, a, b in own)}
+    good = verbatim | {p for p, own in listed if all(a == b or (a, b) in stands for _, a, b in own)}
+    n = len({p for p, _ in listed})
+    copied = len(verbatim) >= min(MIN_WINDOWS, total)
+    asked_again = 0 < usable and len(good) >= min(MIN_WINDOWS, usable) and 2 * len(good) > n
+    return copied or asked_again, len(good), len(verbatim) == n
+
+
+def _judged(windows: pa.Array, total: pa.Array, usable: pa.Array) -> pa.Array:
+    rows = zip(windows.to_pylist(), total.to_pylist(), usable.to_pylist(), strict=True)
+    columns = list(zip(*(_judge(*r) for r in rows), strict=True)) or [[], [], []]
+    kinds = (pa.bool_(), pa.int64(), pa.bool_())
+    return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["bad", "n", "verbatim"])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, verbatim): the contaminated pairs.
 
-    ``n_windows`` is the most windows matched on one alignment, and ``verbatim`` says whether
-    all slots there have the item's own values.
+    ``n_windows`` is the most consistent windows on one alignment, ``item_windows`` the item's
+    places, and ``verbatim`` says whether all matched windows there have the item's own words.
     """
     items = benchmark_windows(benchmark)
     lengths = sorted(r["length"] for r in items.select("length").distinct().collect())  # at most WINDOW
@@ -221,28 +267,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lines = items.withColumnRenamed("id", "item_id")
     few = wanted is not None
     pairs = found.join(F.broadcast(lines) if few else lines, "h").withColumn("shift", F.col("at") - F.col("place"))
-    zipped = F.filter(
-        F.transform(F.arrays_zip("slots", "values"), lambda z: F.struct(z["slots"].alias("item"), z["values"].alias("doc"))),
-        lambda z: z["item"].isNotNull(),
-    )
     aligned = pairs.groupBy("doc_id", "item_id", "shift").agg(
         F.count_distinct("place").alias("n_windows"),
-        F.first("total").alias("item_windows"),
-        F.array_distinct(F.flatten(F.collect_set(zipped))).alias("slots"),
+        F.max("total").alias("total"),
+        F.max("usable").alias("usable"),
+        F.collect_set(F.struct("place", "slots", "values")).alias("windows"),
+    )
+    least = F.least(F.lit(MIN_WINDOWS), F.col("total"), F.when(F.col("usable") > 0, F.col("usable")))
+    judge = F.arrow_udf(_judged, "struct<bad:boolean,n:long,verbatim:boolean>")
+    judged = aligned.where(F.col("n_windows") >= least).select(
+        "doc_id", "item_id", "total", judge("windows", "total", "usable").alias("r")
     )
-    # as many pairs as values on either side: the slots stand for each other one to one
-    per_item = F.size(F.array_distinct(F.transform("slots", lambda z: z["item"])))
-    per_doc = F.size(F.array_distinct(F.transform("slots", lambda z: z["doc"])))
-    consistent = (F.size("slots") == per_item) & (F.size("slots") == per_doc)
-    enough = F.col("n_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("item_windows"))
-    verbatim = F.forall("slots", lambda z: z["item"] == z["doc"])
     return (
-        aligned.where(consistent & enough)
+        judged.where("r.bad")
         .groupBy("doc_id", "item_id")
         .agg(
-            F.max("n_windows").alias("n_windows"),
-            F.max("item_windows").cast("long").alias("item_windows"),
-            F.bool_or(verbatim).alias("verbatim"),
+            F.max("r.n").alias("n_windows"),
+            F.max("total").cast("long").alias("item_windows"),
+            F.bool_or("r.verbatim").alias("verbatim"),
         )
     )
 
