@@ -163,6 +163,13 @@ def test_one_altered_slot_does_not_clear_a_copy(spark, table, words):
     assert _pairs(spark, table, [item], [*texts, "on a day Tom met 12 men and left"]) == {(k, 0) for k in range(4)}
 
 
+def test_items_of_few_words_or_many_slots_match(spark, table):
+    items = ["What is 17 + 25?", "from 1 2 3 4 5 6 and so", "see 1 2 3 4 5 6 7 8 9 10 11 12 13", "red 4 5 6 7 8 9 old green house"]
+    texts = [f"I ask you. {t} Thanks" for t in items] + ["red 9 8 7 6 5 4 old green house"]
+    assert _pairs(spark, table, items, texts) >= {(k, k) for k in range(4)} | {(4, 3)}
+    assert _pairs(spark, table, items, ["what is 18 + 25?", "see 2 2 3 4 6 6 7", "red 4 5 6"]) == set()
+
+
 def test_templates_without_the_sent_array(spark, table, monkeypatch):
     benchmark = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
     docs = table([(1, "A day. " + QUESTION), (2, "nothing of the kind")])

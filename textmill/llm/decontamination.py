@@ -8,7 +8,9 @@ placeholders, whose words are kept aside as slot values:
 * a name is a capitalised word that does not begin a sentence or a line.
 
 Every run of ``WINDOW`` tokens of a benchmark item is hashed as a template; an item that is
-shorter is one window of its own length. Documents' windows are hashed the same way and joined on the hash. A matched window is
+shorter is one window of its own length. The words themselves are hashed beside the templates,
+lower-cased and without regard to slots, so copies match whatever their capitals, line ends and
+numbers. Documents' windows are hashed the same way and joined on the hash. A matched window is
 aligned with its place in the item. On an alignment, a document's value stands for an item's
 value if it does so at more than half of its places; a window is consistent if each of its slots
 has the item's own value or one that stands for it.
@@ -60,6 +62,7 @@ UNITS = (
     "liters litres dollars euros cents percent degrees mph kmh"
 ).split()
 _SEED = 31
+_PLAIN = 1 << 32  # added to the seed of windows without placeholders
 _NUMERIC = byte_table(b"0123456789.,:/%$+-")
 _DIGIT = byte_table(b"0123456789")
 _STOP = byte_table(b".!?:")
@@ -125,6 +128,13 @@ def _windows(row: np.ndarray, code: np.ndarray, slot: np.ndarray, length: int) -
     return h[at], at
 
 
+def _plain_windows(row: np.ndarray, value: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of the windows of the words themselves that stay in a row."""
+    h = sequence_hash(value, length, length + _PLAIN)
+    at = np.flatnonzero(row[length - 1 :] == row[: len(h)]) if len(h) else np.empty(0, np.int64)
+    return h[at], at
+
+
 _FIELDS = [
     ("id", pa.int64()),
     ("h", pa.int64()),
@@ -175,8 +185,8 @@ def _item_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = []
             template = np.zeros(len(row), bool)
             for length in {WINDOW, *size[(size >= MIN_TOKENS) & (size < WINDOW)].tolist()}:
-                for k, (codes, slots) in enumerate(variants):
-                    h, at = _windows(row, codes, slots, length)
+                for k, (codes, slots) in enumerate([*variants, (value, None)]):
+                    h, at = _plain_windows(row, value, length) if slots is None else _windows(row, codes, slots, length)
                     whole = (size[row[at]] >= WINDOW) if length == WINDOW else (size[row[at]] == length)
                     if slots is not None:
                         if k:
@@ -207,8 +217,8 @@ def _document_windows(docs: DataFrame, lengths: list[int], wanted: np.ndarray |
             for first, row, code, value, slot in tokens(batch.column(1)):
                 none = np.zeros(int(row[-1]) + 1 if len(row) else 0, np.int64)
                 for length in lengths:
-                    for slots in (slot,):
-                        h, at = _windows(row, code, slots, length)
+                    for slots in (slot, None):
+                        h, at = _plain_windows(row, value, length) if slots is None else _windows(row, code, slots, length)
                         if wanted is not None:
                             where = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
                             hit = wanted[where] == h
