@@ -170,6 +170,12 @@ def test_items_of_few_words_or_many_slots_match(spark, table):
     assert _pairs(spark, table, items, ["what is 18 + 25?", "see 2 2 3 4 6 6 7", "red 4 5 6"]) == set()
 
 
+def test_capitals_and_line_ends_do_not_hide_a_copy(spark, table):
+    item = "Once Anna went from Paris to the Große Straße with Otto and then with Emil home to Rome and Anna was glad"
+    texts = [item.upper(), item.lower(), item.title(), item.replace(" ", "\n"), "\n".join(re.findall(r"\S+ \S+ ?\S*", item))]
+    assert _pairs(spark, table, [item], [*texts, "Once Anna went home"]) == {(k, 0) for k in range(5)}
+
+
 def test_templates_without_the_sent_array(spark, table, monkeypatch):
     benchmark = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
     docs = table([(1, "A day. " + QUESTION), (2, "nothing of the kind")])

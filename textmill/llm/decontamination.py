@@ -63,6 +63,7 @@ UNITS = (
 ).split()
 _SEED = 31
 _PLAIN = 1 << 32  # added to the seed of windows without placeholders
+_FOLDED = (("ß", "ss"), ("ς", "σ"))  # letters whose capitals are lowered to others
 _NUMERIC = byte_table(b"0123456789.,:/%$+-")
 _DIGIT = byte_table(b"0123456789")
 _STOP = byte_table(b".!?:")
@@ -81,6 +82,8 @@ def tokens(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.nda
     for first, last, data, offsets in runs(text):
         part = text.slice(first, last - first)
         lowered = pc.utf8_lower(pc.fill_null(part.cast(pa.large_string()), ""))
+        for letter, folded in _FOLDED:
+            lowered = pc.replace_substring(lowered, letter, folded)
         low = next(runs(lowered, 1 << 62))
         start, end, row = words(data, offsets)
         low_start, low_end, _ = words(low[2], low[3])
