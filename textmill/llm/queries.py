@@ -10,6 +10,7 @@ from textmill.llm import (
     line_chunks,
     mixing,
     outliers,
+    piece_table,
     quality,
     simhash,
     sketch_windows,
@@ -82,3 +83,10 @@ def _op9(table) -> DataFrame:
 @_query("op10_weighted_mixing", mixing.MIX_SQL.format(docs="documents"))
 def _op10(table) -> DataFrame:
     return mixing.mix(table("documents"))
+
+
+@_query("op11_piece_table")
+def _op11(table) -> DataFrame:
+    from public_tokenizers import path
+
+    return piece_table.round_trip(table("documents"), piece_table.Vocabulary.load(path("piece_bpe_32k.model")))
