@@ -12,6 +12,7 @@ from textmill.llm import (
     outliers,
     piece_table,
     quality,
+    resampling,
     simhash,
     sketch_windows,
     suffix_merge,
@@ -90,3 +91,8 @@ def _op11(table) -> DataFrame:
     from public_tokenizers import path
 
     return piece_table.round_trip(table("documents"), piece_table.Vocabulary.load(path("piece_bpe_32k.model")))
+
+
+@_query("op13_importance_resampling", resampling.RESAMPLE_SQL)
+def _op13(table) -> DataFrame:
+    return resampling.resample(table("documents"), table("benchmark"))
