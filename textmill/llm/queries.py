@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm import (
+    bit_slices,
     decontamination,
     language,
     line_chunks,
@@ -93,6 +94,11 @@ def _op11(table) -> DataFrame:
     return piece_table.round_trip(table("documents"), piece_table.Vocabulary.load(path("piece_bpe_32k.model")))
 
 
+@_query("op12_bit_sliced_search", bit_slices.SEARCH_SQL)
+def _op12(table) -> DataFrame:
+    return bit_slices.search(table("documents"), table("benchmark"))
+
+
 @_query("op13_importance_resampling", resampling.RESAMPLE_SQL)
 def _op13(table) -> DataFrame:
     return resampling.resample(table("documents"), table("benchmark"))
