@@ -11,9 +11,9 @@ Two tokens are tested by taking their merges back, latest first, and looking whe
 symbols that meet at the seam would have been merged before either of them was used up. Of
 equal scores the merge further left comes first.
 
-Texts are cut before a space that follows another character, where no token of the vocabulary
-reaches across (checked when it is loaded), and each task keeps the ids of pieces it has met, at
-most twice ``HELD`` of them. Characters without a token are given as their bytes.
+Texts are cut between Latin letters and other characters and before spaces, where no token of the
+vocabulary reaches across (checked when it is loaded), and each task keeps the ids of pieces it
+has met, at most twice ``HELD`` of them. Characters without a token are given as their bytes.
 
 Executors get the vocabulary with the function (about 1 MB); its file is read by the driver.
 
@@ -29,6 +29,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from hashlib import sha256
 
 import ahocorasick
 import numpy as np
@@ -37,10 +38,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HELD = 300_000  # distinct pieces of text in a task's memory, twice over
+HELD = 200_000  # distinct pieces of text in a task's memory, twice over
+_TESTED = 500_000  # pairs of tokens
 _SHORT = 48  # characters of a piece that is worth keeping
 _SPACE = "▁"
 _UNKNOWN = " ⁇ "
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏḀ-ỿ"
+_PIECES = re.compile(f" *[{_LATIN}]+| *[^ {_LATIN}]+| +")
+_ONE_KIND = re.compile(f"[{_LATIN}]*|[^{_LATIN}{_SPACE}]*")
 _PROBES = ("", " ", "a  b ", "\n\t", "ﬁ½　é", "\u0000", "<s>", _SPACE, "\U0010ffff x", "    y")
 
 
@@ -61,8 +66,9 @@ class Vocabulary:
             "b" if model.is_byte(i) else "c" if model.is_control(i) else "u" if model.is_unknown(i) else "n" for i in ids
         )
         own = Vocabulary(tuple(map(model.id_to_piece, ids)), tuple(map(model.get_score, ids)), kinds)
-        if kinds.count("b") != 256 or any(own.kinds[i] == "n" and re.search(f"[^{_SPACE}]{_SPACE}", own.tokens[i]) for i in ids):
-            raise ValueError("the model must have byte tokens, and spaces only at the start of tokens")
+        plain = [t.lstrip(_SPACE) for t, kind in zip(own.tokens, kinds, strict=True) if kind == "n"]
+        if kinds.count("b") != 256 or not all(_ONE_KIND.fullmatch(t) for t in plain):
+            raise ValueError("the model must have byte tokens, and Latin letters apart from other characters")
         for probe in _PROBES:
             if encoder(own).ids(probe) != model.encode(probe, num_threads=1):
                 raise ValueError("not a byte-pair model without normalising rules")
@@ -72,7 +78,8 @@ class Vocabulary:
 class _Encoder:
     def __init__(self, vocabulary: Vocabulary):
         plain = [i for i, kind in enumerate(vocabulary.kinds) if kind == "n"]
-        self.token = {vocabulary.tokens[i]: i for i in plain}
+        shown = [t.replace(_SPACE, " ") for t in vocabulary.tokens]
+        token = {shown[i]: i for i in plain}
         self.length = [len(t) for t in vocabulary.tokens]
         self.byte = [0] * 256
         for i, kind in enumerate(vocabulary.kinds):
@@ -90,9 +97,9 @@ class _Encoder:
         self.joined: dict[tuple[int, int], int] = {}
         reachable = {i for i in plain if self.length[i] == 1}
         for i in sorted((i for i in plain if self.length[i] > 1), key=lambda i: (self.time[i], self.length[i])):
-            text, found = vocabulary.tokens[i], False
+            text, found = shown[i], False
             for k in range(1, len(text)):
-                a, b = self.token.get(text[:k]), self.token.get(text[k:])
+                a, b = token.get(text[:k]), token.get(text[k:])
                 if a is None or b is None:
                     continue
                 self.joined[a, b] = i
@@ -102,7 +109,7 @@ class _Encoder:
                 reachable.add(i)
         self.automaton = ahocorasick.Automaton()
         for i in reachable:
-            self.automaton.add_word(vocabulary.tokens[i], (self.length[i], i))
+            self.automaton.add_word(shown[i], (self.length[i], i))
         self.automaton.make_automaton()
         self.tested: dict[int, bool] = {}  # first token times the vocabulary's size plus second token
         self.held: dict[str, bytes] = {}
@@ -134,7 +141,7 @@ class _Encoder:
                 pair = before * size + token
                 fine = tested.get(pair)
                 if fine is None:
-                    if len(tested) >= 4 * HELD:
+                    if len(tested) >= _TESTED:
                         tested.clear()
                     fine = tested[pair] = self._meet(before, token, self.never)
                 if not fine:
@@ -166,16 +173,13 @@ class _Encoder:
         if not text:
             return b""
         make = self._piece
-        parts = _PIECES.findall(_SPACE + text.replace(" ", _SPACE))
+        parts = _PIECES.findall(" " + text.replace(_SPACE, " "))
         return b"".join([self.held.get(p) or make(p) for p in parts])
 
     def ids(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), np.int32).tolist()
 
 
-_PIECES = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
-
-
 @lru_cache(maxsize=2)
 def encoder(vocabulary: Vocabulary) -> _Encoder:
     return _Encoder(vocabulary)
@@ -245,13 +249,23 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: st
     return encoded.withColumn(out, text(F.col(ids)))
 
 
+_DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
 def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row."""
-    coded = encode(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), vocabulary)
-    decoded = decode(coded.select("doc_id", "ids"), vocabulary)
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
-    )
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row, text by text."""
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, back = encoder(vocabulary), decoder(vocabulary)
+        names = [str(i) for i in range(len(vocabulary.tokens))]
+        for batch in batches:
+            counts, coded, decoded = [], [], []
+            for text in batch.column(1):
+                ids = coder.ids(text.as_py() or "")
+                counts.append(len(ids))
+                coded.append(sha256(",".join([names[i] for i in ids]).encode()).hexdigest())
+                decoded.append(sha256(back.text(ids).encode()).hexdigest())
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(digests, _DIGESTS)
