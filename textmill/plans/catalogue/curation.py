@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from textmill.functions import html, personal, tokens
 from textmill.functions import text as tx
 from textmill.operators import bigram as bg
-from textmill.operators import curation, splits
+from textmill.operators import curation, similar, splits
 from textmill.plans.catalogue.base import (
     SEED, SQL_ENCODED, Tables, query, spaced, sql_text, sql_uniform,
 )
@@ -346,3 +346,53 @@ def labelled_set(t: Tables):
     # narrow rows are ranked; the texts are joined to their label afterwards
     split = splits.split_stratified(named.select("doc_id", "quality"), "quality", ["doc_id"], 0.8, SEED)
     return rows.join(split, "doc_id")
+
+
+# --- near-duplicates --------------------------------------------------------------------
+
+_SQL_NEAR = f"""w AS (SELECT doc_id, regexp_extract_all(lower(text), '{_WORDS}') AS w FROM documents),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + {similar.WORDS - 1}], ' ') AS sh FROM (
+      SELECT doc_id, w, unnest(range(1, greatest(len(w) - {similar.WORDS - 2}, 2))) AS i FROM w WHERE len(w) > 0)),
+    sets AS (SELECT doc_id, md5(string_agg(sh, chr(1) ORDER BY sh)) AS d, count(*) AS n FROM s GROUP BY doc_id),
+    class AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY d) AS class_id, n FROM sets),
+    inv AS MATERIALIZED (SELECT doc_id AS id, n, sh FROM s JOIN class USING (doc_id) WHERE doc_id = class_id),
+    pairs AS (SELECT x.id AS a, y.id AS b, count(*) AS common, x.n + y.n - count(*) AS total
+      FROM inv x JOIN inv y ON x.sh = y.sh AND x.id < y.id GROUP BY x.id, y.id, x.n, y.n),
+    near AS MATERIALIZED (SELECT a, b, common, common / total::DOUBLE AS similarity FROM pairs
+      WHERE common / total::DOUBLE >= {similar.SIMILARITY}),
+    e AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+    reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+    roots AS (SELECT a AS class_id, least(a, min(b)) AS group_id FROM reach GROUP BY a),
+    links AS (SELECT a AS class_id, count(*) AS n_links FROM e GROUP BY a),
+    groups AS (SELECT doc_id AS id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0) AS n_links,
+      coalesce(group_id, class_id, doc_id) AS group_id
+      FROM documents LEFT JOIN class USING (doc_id) LEFT JOIN roots USING (class_id) LEFT JOIN links USING (class_id))"""
+
+
+@query("dedup_near", f"WITH RECURSIVE {_SQL_NEAR} SELECT a, b, common::INTEGER AS common, similarity FROM near")
+def dedup_near(t: Tables):
+    return similar.near_classes(t.documents)[1]
+
+
+@query("dedup_groups", f"WITH RECURSIVE {_SQL_NEAR} SELECT * FROM groups")
+def dedup_groups(t: Tables):
+    return similar.near_groups(t.documents)
+
+
+@query(
+    "dedup_near_kept",
+    f"WITH RECURSIVE {_SQL_NEAR} SELECT * FROM documents WHERE doc_id IN (SELECT group_id FROM groups)",
+)
+def dedup_near_kept(t: Tables):
+    return similar.drop_near(t.documents)
+
+
+@query("dedup_minhash")
+def dedup_minhash(t: Tables):
+    _, sets = similar.shingle_classes(t.documents)
+    return similar.near_sets_minhash(sets)
+
+
+@query("semantic_pairs")
+def semantic_pairs(t: Tables):
+    return similar.near_vectors(t("embeddings"))

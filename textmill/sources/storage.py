@@ -34,6 +34,23 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(df: DataFrame) -> None:
+    """Delete the table that ``cut_lineage`` wrote for a DataFrame, once nothing reads it any more.
+
+    Only folders directly under the shared folder are deleted; other tables are left alone.
+    """
+    spark = df.sparkSession
+    root = shared_folder(spark).rstrip("/")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    base = hadoop.Path(root)
+    files = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    top = files.makeQualified(base)
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = files.makeQualified(hadoop.Path(folder))
+        if path.getParent() is not None and path.getParent().equals(top):
+            files.delete(path, True)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether a table has at most ``max_rows`` rows, without counting all of a large one."""
     return df.limit(max_rows + 1).count() <= max_rows
