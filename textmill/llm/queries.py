@@ -67,7 +67,7 @@ def _op6(table) -> DataFrame:
     return outliers.rules(table("documents"))
 
 
-@_query("op7_line_chunks")
+@_query("op7_line_chunks", line_chunks.LINES_SQL.format(docs="documents"))
 def _op7(table) -> DataFrame:
     return line_chunks.dedup(table("documents"), detail=True)
 
