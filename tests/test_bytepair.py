@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.text import GPT4_CHUNKS
 from textmill.operators import bytepair as bp
+from textmill.operators import pair_training
 from textmill.sources import store
 
 FOX = [
@@ -161,10 +162,10 @@ def test_certain_merges_only():
             self.pair, self.freq = pair, freq
 
     # cd may follow ab at once; in the second list (x, a) could become (x, ab) and overtake
-    assert len(bp._independent_prefix([Row("ab", 9), Row("cd", 5), Row("xa", 4)], 9)) == 2
-    assert len(bp._independent_prefix([Row("ab", 9), Row("cd", 5), Row("xa", 5)], 9)) == 1
-    assert len(bp._independent_prefix([Row("ab", 9), Row("bc", 5)], 9)) == 1
-    assert len(bp._independent_prefix([Row("aa", 9), Row("bc", 5)], 9)) == 1
+    assert len(pair_training.independent_prefix([Row("ab", 9), Row("cd", 5), Row("xa", 4)], 9)) == 2
+    assert len(pair_training.independent_prefix([Row("ab", 9), Row("cd", 5), Row("xa", 5)], 9)) == 1
+    assert len(pair_training.independent_prefix([Row("ab", 9), Row("bc", 5)], 9)) == 1
+    assert len(pair_training.independent_prefix([Row("aa", 9), Row("bc", 5)], 9)) == 1
 
 
 def test_many_merges_fold_and_batches(docs):
@@ -185,6 +186,19 @@ def test_training_at_vocabulary_1000_equals_the_definition(spark, docs):
     assert [x for k in sorted(got) for x in got[k]] == [x for s in seqs for x in s]
 
 
+@pytest.mark.parametrize("kept", [3, 40])
+def test_few_kept_counts_change_nothing(docs, monkeypatch, kept):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcd", k=rng.randint(2, 9))) for _ in range(60)]
+    text = " ".join(rng.choices(words, weights=range(1, 61), k=900))
+    learned, _ = train_in_memory([text], 60)
+    monkeypatch.setattr(pair_training, "KEPT", kept)
+    monkeypatch.setattr(pair_training, "CANDIDATES", 8)
+    monkeypatch.setattr(pair_training, "PENDING", 5)
+    monkeypatch.setattr(pair_training, "BLOCK", 100)
+    assert [(m.left, m.right, m.freq) for m in bp.train(docs(text), 316).merges] == learned
+
+
 def test_more_tied_pairs_than_candidates(docs):
     # 400 two-letter words that occur once each: every pair is as frequent as the others
     texts = [" ".join(chr(0x4E00 + 2 * k) for k in range(400))]

@@ -22,33 +22,19 @@ from pyspark.sql import functions as F
 from textmill.functions import tokens
 from textmill.functions.text import GPT4_CHUNKS, chunks, is_blank
 from textmill.operators.joins import lookup_join
+from textmill.operators.pair_training import PLACE_BITS, Merge, learn
 from textmill.operators.ranking import ordered_rank
 from textmill.sources.storage import cut_lineage
 
 BYTES = 256
 
-# Pairs that come back to the driver per training job.
-_CANDIDATES = 256
-# Merges that may pile up on the chunk table before it is written out again.
-_PENDING_LIMIT = 48
 # Chunks a task remembers before it starts afresh.
 _REMEMBERED = 500_000
 # A row has fewer chunks than this.
 _ROW_SPAN = 10_000_000_000
-# A chunk has fewer than 2^27 symbols and there are fewer than 2^36 distinct chunks.
-_PLACE_BITS = 27
 _SEPARATOR = tokens.id_to_char(tokens.MAX_TOKEN_ID)
 
 
-@dataclass(frozen=True)
-class Merge:
-    rank: int
-    left: int
-    right: int
-    new_id: int
-    freq: int
-
-
 @dataclass(frozen=True)
 class Tokenizer:
     """A trained merge list. Small (one entry per vocabulary item), so it lives on the driver.
@@ -160,7 +146,7 @@ def pair_counts(symbols: DataFrame) -> DataFrame:
     pairs = symbols.select(
         "n", "first", F.posexplode(tokens.pairs_of(F.col("symbols"))).alias("at", "pair")
     )
-    place = F.shiftleft("first", _PLACE_BITS) + F.col("at")
+    place = F.shiftleft("first", PLACE_BITS) + F.col("at")
     return pairs.groupBy("pair").agg(F.sum("n").alias("freq"), F.min(place).alias("first"))
 
 
@@ -197,85 +183,6 @@ def apply_merges(symbols: Column, merges: Sequence[Merge]) -> Column:
     )
 
 
-def _independent_prefix(candidates: list, room: int) -> list:
-    """The longest head of a ranked pair list that can be merged in one go.
-
-    Taking pairs one at a time would choose exactly these, in this order, when
-    * no two of them share a symbol, so merging one leaves the count of the others alone;
-    * no pair that a merge creates can overtake a later one. Merging (a, b) creates pairs
-      (x, ab) and (ab, y), which occur at most as often as (x, a) and (b, y) do now; so it
-      is enough that every pair (x, a) and (b, y) is rarer than the later pair.
-    The list is ordered by frequency, so pairs as frequent as a listed one are listed too,
-    except past the end: the last frequency on a full list is therefore not trusted.
-    """
-    full = len(candidates) == _CANDIDATES
-    chosen: list = []
-    for row in candidates:
-        if len(chosen) == room:
-            break
-        left, right = row.pair
-        if not chosen:
-            chosen.append(row)
-            if left == right:
-                break
-            continue
-        if left == right or (full and row.freq == candidates[-1].freq):
-            break
-        used = {s for c in chosen for s in c.pair}
-        if left in used or right in used:
-            break
-        heads = {c.pair[0] for c in chosen}
-        tails = {c.pair[1] for c in chosen}
-        rivals = (
-            other
-            for other in candidates
-            if other.freq >= row.freq and other.pair not in {c.pair for c in chosen}
-        )
-        if any(o.pair[1] in heads or o.pair[0] in tails for o in rivals):
-            break
-        chosen.append(row)
-    return chosen
-
-
-def _char_id(char: str) -> int:
-    point = ord(char)
-    return point if point < 0xD800 else point - 0x800
-
-
-def _spread(symbols: DataFrame) -> DataFrame:
-    # every step reads this table; it is small in bytes next to the work done on it, so it
-    # is cut by the number of cores and not by size
-    return symbols.repartition(symbols.sparkSession.sparkContext.defaultParallelism, "symbols")
-
-
-def _learn(symbols: DataFrame, merge_count: int, first_id: int) -> list[Merge]:
-    """Choose ``merge_count`` merges over a (symbols, n, first) table.
-
-    One job per step; each returns a short list of pairs and takes as many merges from it
-    as are certain. Merges pile up as a fold over the written table, which is written again
-    when the pile is high, so neither the plan nor the recomputation keeps growing.
-    """
-    merges: list[Merge] = []
-    base = cut_lineage(_spread(symbols), "chunks")
-    pending: list[Merge] = []
-    while len(merges) < merge_count:
-        current = base.withColumn("symbols", apply_merges(F.col("symbols"), pending))
-        if len(pending) > _PENDING_LIMIT:
-            current = base = cut_lineage(
-                _spread(current.where(F.length("symbols") > 1)), "chunks"
-            )
-            pending = []
-        candidates = best_pairs(pair_counts(current), _CANDIDATES).collect()
-        if not candidates:
-            break
-        for row in _independent_prefix(candidates, merge_count - len(merges)):
-            left, right = (_char_id(c) for c in row.pair)
-            rank = len(merges)
-            merges.append(Merge(rank, left, right, first_id + rank, row.freq))
-            pending.append(merges[-1])
-    return merges
-
-
 def train(
     df: DataFrame,
     vocab_size: int,
@@ -291,7 +198,7 @@ def train(
         raise ValueError("training text cannot be empty")
     chunk_table = cut_lineage(distinct_chunks(usable, key, text, pattern), "chunks")
     symbols = symbol_table(chunk_table)
-    return Tokenizer(tuple(_learn(symbols, vocab_size - BYTES, BYTES)))
+    return Tokenizer(tuple(learn(symbols, vocab_size - BYTES, BYTES)))
 
 
 def train_characters(
@@ -307,7 +214,7 @@ def train_characters(
     symbols = ordered_rank(words, "doc", "first", ["pos"]).select("symbols", "n", "first")
     symbols = symbols.where(F.length("symbols") > 1)
     # symbols are moved up by one (translate() reads U+0000 as "delete"); move ids back
-    learned = _learn(symbols, merge_count, len(base) + 1)
+    learned = learn(symbols, merge_count, len(base) + 1)
     merges = [Merge(m.rank, m.left - 1, m.right - 1, m.new_id - 1, m.freq) for m in learned]
     return Tokenizer(tuple(merges), base)
 

@@ -30,12 +30,12 @@ class Tables:
         self.spark = spark
         self.folder = folder
 
-    def __call__(self, name: str, spread_by: str | None = None) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet", spread_by)
+    def __call__(self, name: str) -> DataFrame:
+        return read_table(self.spark, f"{self.folder}/{name}.parquet")
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self("documents", "doc_id")
+        return self("documents")
 
     @cached_property
     def vocabulary(self) -> Vocabulary:

@@ -102,7 +102,7 @@ def _sql_encode_texts(table: str, key: str) -> str:
 
 @query("bpe_encode_batch", _sql_encode_texts("conversations", "conv_id, turn"))
 def bpe_encode_batch(t: Tables):
-    texts = t("conversations", "conv_id")
+    texts = t("conversations")
     return texts.select(
         "conv_id", "turn", spaced(bp.encode_text(F.col("text"), t.tokenizer)).alias("ids")
     )

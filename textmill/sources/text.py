@@ -61,14 +61,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
-def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """A Parquet text dataset.
-
-    With ``spread_by``, its rows are spread by that column over all cores, which a dataset of
-    few row groups needs, as one row group is read by one task.
-    """
-    df = spark.read.parquet(path)
-    return df.repartition(spark.sparkContext.defaultParallelism, spread_by) if spread_by else df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet text dataset, in the tasks that its row groups give."""
+    return spark.read.parquet(path)
 
 
 def lines_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
