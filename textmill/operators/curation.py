@@ -2,6 +2,10 @@
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import HashingTF, RegexTokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +55,40 @@ def divergence(counts: DataFrame, reference: DataFrame, key: str = "doc_id") ->
     )
 
 
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, flag: str = "quality", key: str = "doc_id", text: str = "text",
+    features: int = 1 << 16, strength: float = 0.001, rounds: int = 60,
+) -> PipelineModel:
+    """A logistic regression of a label on hashed words, over all rows that have one.
+
+    Gradients are added up over the partitions by tree, so neither the rows nor the features of
+    a partition go to one task; the weights, one number for each of the ``features``, are what
+    is sent around.
+    """
+    rows = docs.where(F.col(text).isNotNull()).join(
+        labels.where(F.col(flag).isin(0, 1)).select(key, F.col(flag).cast("double").alias("__label")), key
+    )
+    words = RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"[\x20\x09-\x0D]+")
+    hashed = HashingTF(inputCol="__words", outputCol="__counts", numFeatures=features)
+    model = LogisticRegression(
+        featuresCol="__counts", labelCol="__label", rawPredictionCol="__raw", probabilityCol="__probability",
+        predictionCol="__prediction", regParam=strength, maxIter=rounds,
+    )
+    return Pipeline(stages=[words, hashed, model]).fit(rows.select(text, "__label"))
+
+
+def quality_scores(docs: DataFrame, model: PipelineModel, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, score): how likely the label is 1. A null text is scored as one without words."""
+    scored = model.transform(docs.select(key, F.coalesce(F.col(text), F.lit("")).alias(text)))
+    return scored.select(key, vector_to_array("__probability")[1].alias("score"))
+
+
+def readable(text: Column, letters: float = 0.6) -> Column:
+    """Whether at least a share of the characters that are not blank are letters."""
+    solid = F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", ""))
+    return F.length(F.regexp_replace(text, r"[^\p{L}]+", "")) >= letters * solid
+
+
 # --- duplicates -------------------------------------------------------------------------
 
 
@@ -194,6 +232,17 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFra
     return docs.join(labels, key)
 
 
+def with_provenance(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Adds what a document is traced by: ``sha256`` of its text, ``n_words`` and ``n_lines``."""
+    return docs.withColumns(
+        {
+            "sha256": F.sha2(F.col(text), 256),
+            "n_words": F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")),
+            "n_lines": F.size(F.split(text, "\n")),
+        }
+    )
+
+
 def funnel(docs: DataFrame, steps: list[tuple[str, Callable[[DataFrame], DataFrame]]], text: str = "text") -> DataFrame:
     """(stage, name, documents, characters): what is left after each step of a chain.
 

@@ -18,7 +18,7 @@ ORACLE: dict[str, str] = {}
 
 SEED = 42
 WINDOW = 8
-MERGES = 128
+MERGES = 256
 
 _tokenizers: dict[tuple[str, str], Tokenizer] = {}
 

@@ -10,6 +10,7 @@ from textmill.plans.catalogue.base import (
     SEED, SQL_ENCODED, Tables, query, spaced, sql_text, sql_uniform,
 )
 from textmill.plans.catalogue.bigrams import _S, _SQL_SCORED
+from textmill.plans.catalogue.texts import _sql_clean
 from textmill.sources.storage import cut_lineage
 
 _LANGUAGES = ["de", "en"]
@@ -153,30 +154,82 @@ def _sql_chars(name: str, table: str, stage: int) -> str:
       coalesce(sum(length(text)), 0)::BIGINT AS characters FROM {table}"""
 
 
+def _sql_near(docs: str) -> str:
+    """CTEs up to ``groups`` (id, class_id, n_links, group_id) of a table of documents."""
+    return f"""w AS (SELECT doc_id, regexp_extract_all(lower(text), '{_WORDS}') AS w FROM {docs}),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + {similar.WORDS - 1}], ' ') AS sh FROM (
+      SELECT doc_id, w, unnest(range(1, greatest(len(w) - {similar.WORDS - 2}, 2))) AS i FROM w WHERE len(w) > 0)),
+    sets AS (SELECT doc_id, md5(string_agg(sh, chr(1) ORDER BY sh)) AS d, count(*) AS n FROM s GROUP BY doc_id),
+    class AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY d) AS class_id, n FROM sets),
+    inv AS MATERIALIZED (SELECT doc_id AS id, n, sh FROM s JOIN class USING (doc_id) WHERE doc_id = class_id),
+    pairs AS (SELECT x.id AS a, y.id AS b, count(*) AS common, x.n + y.n - count(*) AS total
+      FROM inv x JOIN inv y ON x.sh = y.sh AND x.id < y.id GROUP BY x.id, y.id, x.n, y.n),
+    near AS MATERIALIZED (SELECT a, b, common, common / total::DOUBLE AS similarity FROM pairs
+      WHERE common / total::DOUBLE >= {similar.SIMILARITY}),
+    e AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+    reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+    roots AS (SELECT a AS class_id, least(a, min(b)) AS group_id FROM reach GROUP BY a),
+    links AS (SELECT a AS class_id, count(*) AS n_links FROM e GROUP BY a),
+    groups AS (SELECT doc_id AS id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0) AS n_links,
+      coalesce(group_id, class_id, doc_id) AS group_id
+      FROM {docs} LEFT JOIN class USING (doc_id) LEFT JOIN roots USING (class_id) LEFT JOIN links USING (class_id))"""
+
+
+_SQL_CHAIN = f"""s1 AS MATERIALIZED (SELECT doc_id, lang, source, {_sql_clean('text')} AS text FROM documents),
+    s2 AS (SELECT * FROM s1 WHERE lang IN ({_IN})),
+    s3 AS (SELECT * FROM s2 WHERE doc_id NOT IN ({_TOXIC})),
+    s4 AS MATERIALIZED (SELECT * FROM s3 WHERE doc_id IN (SELECT min(doc_id) FROM s3 GROUP BY text)),
+    {_sql_near('s4')},
+    s5 AS MATERIALIZED (SELECT * FROM s4 WHERE doc_id IN (SELECT group_id FROM groups)),
+    s6 AS (SELECT * FROM s5 WHERE len(regexp_extract_all(text, '{_WORDS}')) >= 50
+      AND length(regexp_replace(text, '[^\\p{{L}}]+', '', 'g'))
+        >= 0.6::DOUBLE * length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g'))),
+    s7 AS (SELECT * REPLACE ({_sql_redacted('text')} AS text) FROM s6),
+    s8 AS (SELECT *, sha256(text) AS sha256, len(regexp_extract_all(text, '{_WORDS}'))::INTEGER AS n_words,
+      len(string_split(text, chr(10)))::INTEGER AS n_lines FROM s7)"""
+
+_CHAIN = ["input", "clean", "language", "toxic", "copies", "near copies", "quality", "personal", "provenance"]
+
+
+def _chain(t: Tables) -> list:
+    labels = t("labels")
+    long = F.regexp_count("text", F.lit(_WORDS)) >= 50
+    steps = [
+        lambda df: df.select("doc_id", "lang", "source", tx.clean(F.col("text")).alias("text")),
+        lambda df: curation.keep_languages(df, _LANGUAGES),
+        lambda df: curation.drop_labelled(df, labels, "toxic"),
+        curation.drop_exact,
+        similar.drop_near,
+        lambda df: df.where(long & curation.readable(F.col("text"))),
+        lambda df: df.withColumn("text", personal.redact(F.col("text"))),
+        curation.with_provenance,
+    ]
+    return list(zip(_CHAIN[1:], steps, strict=True))
+
+
 @query(
     "curation_funnel",
-    f"""WITH s1 AS (SELECT * FROM documents WHERE lang IN ({_IN})),
-    s2 AS (SELECT * FROM s1 WHERE doc_id NOT IN ({_TOXIC})),
-    s3 AS (SELECT * FROM s2 WHERE doc_id IN (SELECT min(doc_id) FROM s2 GROUP BY text)),
-    s4 AS (SELECT * FROM s3 WHERE len(regexp_extract_all(text, '{_WORDS}')) >= 50),
-    s5 AS (SELECT doc_id, {_sql_redacted('text')} AS text FROM s4) """
-    + " UNION ALL ".join(
-        _sql_chars(name, table, k)
-        for k, (name, table) in enumerate(
-            [("input", "documents"), ("language", "s1"), ("toxic", "s2"), ("copies", "s3"), ("length", "s4"), ("personal", "s5")]
-        )
-    ),
+    f"WITH RECURSIVE {_SQL_CHAIN} "
+    + " UNION ALL ".join(_sql_chars(name, "documents" if k == 0 else f"s{k}", k) for k, name in enumerate(_CHAIN)),
 )
 def curation_funnel(t: Tables):
-    labels = t("labels")
-    steps = [
-        ("language", lambda df: curation.keep_languages(df, _LANGUAGES)),
-        ("toxic", lambda df: curation.drop_labelled(df, labels, "toxic")),
-        ("copies", curation.drop_exact),
-        ("length", lambda df: df.where(F.regexp_count("text", F.lit(_WORDS)) >= 50)),
-        ("personal", lambda df: df.withColumn("text", personal.redact(F.col("text")))),
-    ]
-    return curation.funnel(t.documents, steps)
+    return curation.funnel(t.documents, _chain(t))
+
+
+@query("curation_chain", f"WITH RECURSIVE {_SQL_CHAIN} SELECT * FROM s8")
+def curation_chain(t: Tables):
+    docs = t.documents
+    for _, step in _chain(t):
+        docs = cut_lineage(step(docs), "step")
+    return docs
+
+
+@query("quality_classifier")
+def quality_classifier(t: Tables):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = curation.fit_quality(t.documents.where(~held_out), t("labels"))
+    scored = curation.quality_scores(t.documents, model)
+    return scored.select("doc_id", held_out.alias("held_out"), F.round("score", 4).alias("score"))
 
 
 # --- web pages --------------------------------------------------------------------------
@@ -350,23 +403,7 @@ def labelled_set(t: Tables):
 
 # --- near-duplicates --------------------------------------------------------------------
 
-_SQL_NEAR = f"""w AS (SELECT doc_id, regexp_extract_all(lower(text), '{_WORDS}') AS w FROM documents),
-    s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + {similar.WORDS - 1}], ' ') AS sh FROM (
-      SELECT doc_id, w, unnest(range(1, greatest(len(w) - {similar.WORDS - 2}, 2))) AS i FROM w WHERE len(w) > 0)),
-    sets AS (SELECT doc_id, md5(string_agg(sh, chr(1) ORDER BY sh)) AS d, count(*) AS n FROM s GROUP BY doc_id),
-    class AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY d) AS class_id, n FROM sets),
-    inv AS MATERIALIZED (SELECT doc_id AS id, n, sh FROM s JOIN class USING (doc_id) WHERE doc_id = class_id),
-    pairs AS (SELECT x.id AS a, y.id AS b, count(*) AS common, x.n + y.n - count(*) AS total
-      FROM inv x JOIN inv y ON x.sh = y.sh AND x.id < y.id GROUP BY x.id, y.id, x.n, y.n),
-    near AS MATERIALIZED (SELECT a, b, common, common / total::DOUBLE AS similarity FROM pairs
-      WHERE common / total::DOUBLE >= {similar.SIMILARITY}),
-    e AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
-    reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
-    roots AS (SELECT a AS class_id, least(a, min(b)) AS group_id FROM reach GROUP BY a),
-    links AS (SELECT a AS class_id, count(*) AS n_links FROM e GROUP BY a),
-    groups AS (SELECT doc_id AS id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0) AS n_links,
-      coalesce(group_id, class_id, doc_id) AS group_id
-      FROM documents LEFT JOIN class USING (doc_id) LEFT JOIN roots USING (class_id) LEFT JOIN links USING (class_id))"""
+_SQL_NEAR = _sql_near("documents")
 
 
 @query("dedup_near", f"WITH RECURSIVE {_SQL_NEAR} SELECT a, b, common::INTEGER AS common, similarity FROM near")

@@ -127,7 +127,7 @@ def bpe_info(t: Tables):
     return t.tokenizer.info(t.spark)
 
 
-_CHAR_MERGES = 6
+_CHAR_MERGES = 64
 
 
 def _sql_character_training() -> str:
