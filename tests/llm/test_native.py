@@ -102,7 +102,8 @@ def test_repeated_passages_of_any_length_go_whole(table, monkeypatch):
 
 def test_mixing_equals_sql_and_meets_targets(table, odd):
     draw = random.Random(2)
-    rows = [(d, t, "en", draw.choice(["a", "b", None])) for d, t in odd if d is not None]
+    rows = [(d, t, "en", draw.choice(["a", "b", None])) for d, t in odd]
+    rows += [(None, "w " * k, "en", "c") for k in range(4)]
     rows += [(100 + k, "w " * draw.randint(0, 30), "en", "b" if k % 3 else "c") for k in range(200)]
     rows += [(900, None, "en", "empty"), (901, "", "en", "empty")]
     docs = table(rows)

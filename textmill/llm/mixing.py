@@ -12,7 +12,8 @@ says where the budget ends: whole epochs take every document, the last one takes
 to the exact budget (the target rounded down) and cuts the document at its end.
 
 Defined results: a null text has size 0 and is taken 0 words of. A null source is a source of
-its own and comes last. Rows with equal ids and sizes are interchangeable, so reruns agree.
+its own and comes last. Rows with equal ids and sizes are interchangeable, so reruns agree; rows without an id have one
+key and are ordered by size.
 An empty table gives no rows; sources of size 0 have target 0. Only doc_id, text and source
 are read.
 """
@@ -99,7 +100,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
 
 MIX_SQL = """
 WITH sized AS (
-  SELECT doc_id, source, md5('mix|' || doc_id::VARCHAR) AS key,
+  SELECT doc_id, source, md5(concat_ws('|', 'mix', doc_id::VARCHAR)) AS key,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
   FROM {docs}),
 own AS (
