@@ -60,5 +60,9 @@ def test_language(table):
     docs = table(rows)
     kept = language.reject_unknown(docs)
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
+    junk = [(600 + k, "".join(draw.choice("qwzxjk;17 ") for _ in range(60 + 90 * k)), None, None) for k in range(4)]
+    kept = {r.doc_id for r in language.reject_unknown(table([*rows, *junk])).collect()}
+    assert kept == {r[0] for r in rows} - {500, 501, 502}
+    assert language.reject_unknown(table([])).collect() == []
     assert language.identified(table([])).collect() == []
     assert {r.lang_pred for r in language.identified(table([(1, "abc", None, None)])).collect()} == {"und"}

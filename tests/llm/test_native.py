@@ -107,9 +107,10 @@ def test_mixing_equals_sql_and_meets_targets(table, odd):
     rows += [(100 + k, "w " * draw.randint(0, 30), "en", "b" if k % 3 else "c") for k in range(200)]
     rows += [(900, None, "en", "empty"), (901, "", "en", "empty")]
     docs = table(rows)
-    got = mixing.mix(docs).toPandas()
-    documents = docs.select("doc_id", "text", "source").toPandas()  # noqa: F841  (read by the SQL)
-    want = duckdb.sql(mixing.MIX_SQL.format(docs="documents")).df()[list(got.columns)]
+    got = mixing.mix(docs).toPandas().astype({"doc_id": "Int64"})
+    documents = docs.select("doc_id", "text", "source").toPandas().astype({"doc_id": "Int64"})  # (read by the SQL)
+    want = duckdb.sql(mixing.MIX_SQL.format(docs="documents")).df()[list(got.columns)].astype({"doc_id": "Int64"})
+    assert documents.doc_id.isna().any()
     order = ["doc_id", "size", "taken"]
     a, b = (x.sort_values(order).reset_index(drop=True) for x in (got, want))
     a["source"], b["source"] = a.source.fillna("-"), b.source.fillna("-")

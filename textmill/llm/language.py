@@ -17,6 +17,8 @@ columns are read; other columns pass through ``identify`` untouched.
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textmill.llm.arrays import code_points, letter_table, runs
+from textmill.sources.storage import cut_lineage
 
 UNKNOWN = "und"
 PROFILE = 400
 HELD_OUT = 2
+LEAST = 0.55
 _BITS = np.uint64(21)
 _SPACE = 32
 _PENDING = 1_000_000
@@ -198,17 +202,31 @@ def identified(docs: DataFrame) -> DataFrame:
     )
 
 
-def reject_unknown(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
+def least_scores(told: DataFrame, column: str) -> dict[str, float]:
+    """For each language the score below which a text is taken for none.
+
+    It is ``LEAST`` times the median score of all rows that are marked with the language and
+    told to be in it, so it follows the corpus and stray texts hardly move it. One number for
+    each language reaches the driver.
+    """
+    told = told.select("lang", F.col(f"{column}.lang_pred").alias("told"), F.col(f"{column}.score").alias("score"))
+    middle = told.where("told = lang").groupBy("told").agg(F.percentile_approx("score", 0.5, 10_000).alias("middle"))
+    return {r["told"]: LEAST * r["middle"] for r in middle.collect()}
+
+
+def reject_unknown(docs: DataFrame) -> DataFrame:
     """The rows whose language could be told, with the columns they came with.
 
-    A document is rejected if it has no letter, or if its best score is below ``min_score``.
+    A document is rejected if it has no letter, or if its distance to the nearest profile is so
+    large that its score is below the least score of that language (``least_scores``). With
+    nothing to learn from, all are.
     """
     profiles = learn(docs.where(~is_held_out()))
     column = "__language"
     while column in docs.columns:
         column += "_"
-    told = identify(docs, profiles, column)
-    kept = (F.col(f"{column}.lang_pred") != UNKNOWN) & (F.col(f"{column}.score") >= min_score)
+    told = cut_lineage(identify(docs, profiles, column), "languages")
+    least = least_scores(told, column)
+    lang, score = F.col(f"{column}.lang_pred"), F.col(f"{column}.score")
+    kept = reduce(or_, [(lang == name) & (score >= low) for name, low in sorted(least.items())], F.lit(False))
     return told.where(kept).drop(column)
-
-

@@ -9,14 +9,15 @@ covariance determinant, and a document is rejected if its squared Mahalanobis di
 
 The determinant is minimised by concentration steps: from the half nearest to the median
 (scaled by the median deviation), mean and covariance are taken over the ``COVERAGE`` nearest
-documents, which never raises the determinant, ``STEPS`` times. A group is never gathered: the
+documents, until no group's determinant falls any more (``STEPS`` times at most). A group is never gathered: the
 medians and the nearest share come from counts in bins, mean and covariance from exact integer
 sums, so a group with a third of all rows is only partial sums, and reruns agree.
 
 A variance floor for each statistic keeps the estimates regular where most documents have the
 same value. Shares of repeated lines and words are angles, arcsin of the root, so that the floors
-leave room for an extreme value of either to exceed the cut-off by itself. Groups of fewer than ``MIN_GROUP`` documents use the estimate of their language over
-all sources; if that is as small, their documents are kept.
+leave room for an extreme value of either to exceed the cut-off by itself. Groups of fewer than
+``MIN_GROUP`` documents use the estimate of their language over all sources; if that is as small,
+their documents are kept.
 
 Defined results: a null or empty text has no words and fails the base rules. A null language or
 source is a value of its own. Repeated rows each get a row. Only doc_id, text, lang and source
@@ -30,12 +31,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textmill.functions.lambdas import let
-from textmill.sources.storage import cut_lineage
+from textmill.sources.storage import cut_lineage, fits
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent
 COVERAGE = 0.75
-STEPS = 3
+STEPS = 30  # at most; they end when no determinant falls any more
 MIN_GROUP = 40
 CUTOFF = 24.0  # the 0.9998 quantile of chi-square with 5 degrees of freedom
 # statistics are integers of thousandths, so that sums are exact
@@ -49,6 +50,7 @@ PRIOR_LINES = 4
 PRIOR_WORDS = 10
 # covariance of the nearest three quarters of a normal sample in 5 dimensions, to that of all
 CONSISTENCY = 1.41
+_BROADCAST_GROUPS = 100_000  # rows of 20 numbers
 _PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
 
 
@@ -187,7 +189,8 @@ def _concentrated(placed: DataFrame, share: float) -> DataFrame:
     """
     binned = placed.withColumn("bin", F.floor(F.ln(1 + F.col("d2")) * 100).cast("int"))
     counts = binned.groupBy("group", "bin").agg(F.count("*").alias("n"))
-    near = binned.join(_below(counts, ["group"], "bin", share), "group").where("bin <= cut")
+    cuts = _by_group(cut_lineage(_below(counts, ["group"], "bin", share), "cuts"))
+    near = binned.join(cuts, "group").where("bin <= cut")
     sums = near.groupBy("group").agg(
         F.count("*").alias("n"),
         *[F.sum(n).alias(f"a_{k}") for k, n in enumerate(NAMES)],
@@ -212,11 +215,25 @@ def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     found = cut_lineage(found, "estimate")
     for step in range(steps):
         share = 0.5 if step == 0 else COVERAGE
-        placed = _distance(rows.join(found, "group"))
-        found = cut_lineage(_solved(_concentrated(placed, share)), "estimate")
+        placed = _distance(rows.join(_by_group(found), "group"))
+        before, found = found, cut_lineage(_solved(_concentrated(placed, share)), "estimate")
+        if step > 1:
+            log = sum((F.ln(f"l_{k}_{k}") for k in range(1, len(NAMES))), F.ln("l_0_0"))
+            fell = found.select("group", log.alias("now")).join(before.select("group", log.alias("then")), "group")
+            if fell.where(F.col("now") < F.col("then") - 1e-3).isEmpty():
+                break
     return found
 
 
+def _by_group(table: DataFrame) -> DataFrame:
+    """A table of one row for each group, sent to every task where there are few groups.
+
+    A group may hold a third of the rows, which a join on the group would deal to one task.
+    With very many groups no broadcast is made; the optimizer then splits large groups.
+    """
+    return F.broadcast(table) if fits(table, _BROADCAST_GROUPS) else table
+
+
 def rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """(doc_id, the counts, base_failed, kept, d2) of every row."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
@@ -236,11 +253,11 @@ def rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     )
     narrow = good.select(fine.alias("fine"), coarse.alias("coarse"), *NAMES)
     used = uses.where("group = coarse").select("coarse").distinct()
-    parts = narrow.join(uses.where("group = fine").select("fine"), "fine").select(F.col("fine").alias("group"), *NAMES)
-    whole = narrow.join(used, "coarse").select(F.col("coarse").alias("group"), *NAMES)
+    parts = narrow.join(_by_group(uses.where("group = fine").select("fine")), "fine").select(F.col("fine").alias("group"), *NAMES)
+    whole = narrow.join(_by_group(used), "coarse").select(F.col("coarse").alias("group"), *NAMES)
     found = estimates(cut_lineage(parts.unionByName(whole), "vectors"))
     located = uses.join(found, "group").drop("coarse", "group").withColumnRenamed("fine", "fine_")
-    judged = _distance(rows.join(located, fine == F.col("fine_"), "left"))
+    judged = _distance(rows.join(_by_group(located), fine == F.col("fine_"), "left"))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
