@@ -9,7 +9,7 @@ covariance determinant, and a document is rejected if its squared Mahalanobis di
 
 The determinant is minimised by concentration steps: from the half nearest to the median
 (scaled by the median deviation), mean and covariance are taken over the ``COVERAGE`` nearest
-documents, until no group's determinant falls any more (``STEPS`` times at most). A group is never gathered: the
+documents, until no group's determinant falls by a hundredth (``STEPS`` times at most). A group is never gathered: the
 medians and the nearest share come from counts in bins, mean and covariance from exact integer
 sums, so a group with a third of all rows is only partial sums, and reruns agree.
 
@@ -36,7 +36,7 @@ from textmill.sources.storage import cut_lineage, fits
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent
 COVERAGE = 0.75
-STEPS = 30  # at most; they end when no determinant falls any more
+STEPS = 8  # at most; they end when no determinant falls by a hundredth any more
 MIN_GROUP = 40
 CUTOFF = 24.0  # the 0.9998 quantile of chi-square with 5 degrees of freedom
 # statistics are integers of thousandths, so that sums are exact
@@ -220,7 +220,7 @@ def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
         if step > 1:
             log = sum((F.ln(f"l_{k}_{k}") for k in range(1, len(NAMES))), F.ln("l_0_0"))
             fell = found.select("group", log.alias("now")).join(before.select("group", log.alias("then")), "group")
-            if fell.where(F.col("now") < F.col("then") - 1e-3).isEmpty():
+            if fell.where(F.col("now") < F.col("then") - 0.01).isEmpty():
                 break
     return found
 
