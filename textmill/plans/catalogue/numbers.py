@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from textmill.functions import vectors
-from textmill.operators import attention_lookup, augment, scaling, statistics
+from textmill.operators import attention_lookup, augment, nearest, scaling, statistics
 from textmill.plans import dataset
 from textmill.plans.catalogue.base import (
     SEED,
@@ -299,6 +299,36 @@ def softmax_lookup(t: Tables):
     return attention_lookup.softmax_lookup(scored).withColumn("looked_up", F.round("looked_up", 6))
 
 
+_TOP_SQL = """v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+    s AS (SELECT q.vec_id AS query, k.vec_id AS key, k.label AS value, list_dot_product(q.x, k.x) AS score
+      FROM v q, v k WHERE q.vec_id % 20 = 0),
+    t AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, key)::INTEGER AS rank
+      FROM s QUALIFY rank <= 10)"""
+
+
+def _top_keys(t: Tables):
+    keys = t("embeddings").select(
+        F.col("vec_id").alias("key"), F.col("embedding").alias("vector"), F.col("label").cast("double").alias("value")
+    )
+    queries = t("embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
+    return nearest.top_keys(queries, keys, 10)
+
+
+@query("lookup_topk", f"WITH {_TOP_SQL} SELECT query, rank, key, round(score, 6) AS score FROM t")
+def lookup_topk(t: Tables):
+    return _top_keys(t).select("query", "rank", "key", F.round("score", 6).alias("score"))
+
+
+@query(
+    "softmax_lookup_topk",
+    f"""WITH {_TOP_SQL}, w AS (SELECT query, value, exp(score - max(score) OVER (PARTITION BY query)) AS w FROM t)
+    SELECT query, round(sum(w * value) / sum(w), 6) AS looked_up FROM w GROUP BY query""",
+)
+def softmax_lookup_topk(t: Tables):
+    found = _top_keys(t).select("query", "score", "value")
+    return attention_lookup.softmax_lookup(found).withColumn("looked_up", F.round("looked_up", 6))
+
+
 _OPTIONS = DatasetOptions(seq_length=16)
 _LEN = _OPTIONS.seq_length
 _WINDOWS_SQL = f"""toks AS (
