@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textmill.functions import vectors
-from textmill.operators import attention_lookup, scaling, statistics
+from textmill.operators import attention_lookup, scaling, splits, statistics
 from textmill.plans import dataset
 from textmill.sources.store import Dataset, DatasetOptions
 
@@ -139,3 +139,17 @@ def test_dataset_folder(spark, docs, tmp_path):
 def test_dataset_shorter_than_a_window(docs, tmp_path):
     row = dataset.process(docs("abc"), str(tmp_path / "d"), "short", DatasetOptions(seq_length=50)).first()
     assert row.total_sequences == 0 and row.inputs_min_value is None and row.inputs_rows == 0
+
+
+def test_splits_are_stored_once_and_read_as_windows(spark, sequences, tmp_path):
+    rows = sequences(list(range(40)), [7], list(range(100, 130)), None, list(range(50)))
+    saved = Dataset(spark, str(tmp_path / "d"))
+    saved.save_splits(splits.split_pieces(rows, 4, 0.3), 4)
+    # a row for each document and one more for the one at the cut, not one for each window
+    assert spark.read.parquet(str(tmp_path / "d/splits")).count() == 4
+    ids = {r.doc_id: r.ids for r in rows.collect() if r.ids}
+    windows = [(k, i, v[i : i + 4], v[i + 4]) for k, v in sorted(ids.items()) for i in range(len(v) - 4)]
+    cut = int(len(windows) * 0.7)
+    for part, want in zip(saved.train_and_validation(), (windows[:cut], windows[cut:])):
+        got = part.select("doc_id", "start", "input", "target").orderBy("doc_id", "start").collect()
+        assert [tuple(r) for r in got] == want

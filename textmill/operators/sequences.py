@@ -12,7 +12,7 @@ _BROADCAST_ROWS = 100_000
 
 
 def window_index(
-    df: DataFrame, length: int, key: str = "doc_id", ids: str = "ids", keep: tuple[str, ...] = ()
+    df: DataFrame, length: Column | int, key: str = "doc_id", ids: str = "ids", keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """(key, ids, kept columns, start): one row per window, the window itself not yet cut.
 
@@ -20,7 +20,8 @@ def window_index(
     same generated code, so the array is not copied per row.
     """
     starts = tokens.window_starts(F.col(ids), length)
-    return df.select(key, ids, *keep, F.explode(starts).alias("start"))
+    extra = [] if isinstance(length, int) else [length]
+    return df.select(key, ids, *keep, *extra, F.explode(starts).alias("start"))
 
 
 def windows(df: DataFrame, length: int, key: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -9,9 +9,8 @@ from textmill.functions import tokens
 from textmill.operators.ranking import (
     cut_keys,
     hash_rank,
+    key_at_total,
     labelled,
-    rejoin,
-    running_total,
     with_hash_bucket,
     with_order_bucket,
     without_bucket,
@@ -44,35 +43,68 @@ def with_train_items(
 ) -> DataFrame:
     """Add how many of a row's items come before the corpus-wide cut.
 
-    Rows own ``items`` consecutive places of one long list in key order. Only the counts
-    are shuffled; no item is ranked or moved.
+    Rows own ``items`` consecutive places of one long list in key order. Only the row at the
+    cut is looked for, among the counts; the rows themselves are labelled in place. Rows without
+    a key have no place and are left out.
     """
-    sizes = cut_lineage(df.select(key, items.cast("long").alias("__items")), "sizes")
-    total = sizes.agg(F.sum("__items").alias("n")).scalar()
-    cut = F.floor(total * train_ratio)
-    placed = running_total(sizes, key, "__items", "__offset")
-    kept = F.greatest(F.lit(0), F.least(F.col("__items"), cut - F.col("__offset")))
-    return rejoin(df, placed.select(key, kept.cast("int").alias(out)), key)
-
-
-def split_windows(
+    keyed = df.where(F.col(key).isNotNull())
+    known = F.coalesce(items.cast("long"), F.lit(0).cast("long"))
+    sizes = cut_lineage(keyed.select(key, known.alias("__items")), "sizes")
+    total = F.coalesce(F.sum("__items"), F.lit(0))
+    cut = key_at_total(sizes, key, "__items", sizes.agg(F.floor(total * train_ratio).alias("n")).first().n)
+    if cut is None:
+        return keyed.withColumn(out, F.lit(0))
+    there, left = cut
+    kept = F.when(F.col(key) < there, known.cast("int")).when(F.col(key) == there, F.lit(left).cast("int"))
+    return keyed.withColumn(out, kept.otherwise(F.lit(0)))
+
+
+def split_pieces(
     df: DataFrame, length: int, validation_split: float = 0.1, key: str = "doc_id", ids: str = "ids"
 ) -> DataFrame:
-    """(key, start, input, target, split): windows in corpus order, the last part validation."""
+    """(key, first, ids, split): the tokens that a row's windows of one split cover, from place ``first``.
+
+    The row at the cut gives two pieces, which share ``length`` tokens; all others give one.
+    """
     # int(N * (1 - v)): the ratio is formed first, as a double
     count = tokens.window_count(F.col(ids), length)
     cut = with_train_items(df.select(key, ids), count, F.lit(1 - validation_split), key)
+    n = F.col("train_items")
+    rest = F.greatest(F.size(ids) - n, F.lit(0))
+    pieces = F.array(
+        F.struct(
+            F.lit(0).alias("first"),
+            F.when(n > 0, F.slice(ids, F.lit(1), n + length)).alias("ids"),
+            F.lit(TRAIN).alias("split"),
+        ),
+        F.struct(
+            n.alias("first"),
+            F.when(rest > length, F.slice(ids, n + 1, rest)).alias("ids"),
+            F.lit(VALIDATION).alias("split"),
+        ),
+    )
+    return cut.select(key, F.inline(pieces)).where(F.size("ids") > length)
+
+
+def piece_windows(pieces: DataFrame, length: Column | int, key: str = "doc_id") -> DataFrame:
+    """(key, start, input, target, split): the windows of ``split_pieces``. Narrow, no shuffle."""
     start = F.col("start")
-    split = F.when(start < F.col("train_items"), F.lit(TRAIN)).otherwise(F.lit(VALIDATION))
-    return window_index(cut, length, key, ids, ("train_items",)).select(
+    return window_index(pieces, length, key, "ids", ("first", "split")).select(
         key,
-        start,
-        tokens.block_at(F.col(ids), start, length).alias("input"),
-        F.get(F.col(ids), start + length).alias("target"),
-        split.alias("split"),
+        (F.col("first") + start).alias("start"),
+        tokens.block_at(F.col("ids"), start, length).alias("input"),
+        F.get(F.col("ids"), start + length).alias("target"),
+        "split",
     )
 
 
+def split_windows(
+    df: DataFrame, length: int, validation_split: float = 0.1, key: str = "doc_id", ids: str = "ids"
+) -> DataFrame:
+    """(key, start, input, target, split): windows in corpus order, the last part validation."""
+    return piece_windows(split_pieces(df, length, validation_split, key, ids), length, key)
+
+
 def split_tokens(
     df: DataFrame, train_ratio: float = 0.9, key: str = "doc_id", ids: str = "ids"
 ) -> DataFrame:

@@ -118,7 +118,7 @@ s AS (SELECT CASE WHEN before + i < floor((SELECT sum(n) FROM places) * (1 - 0.1
 
 def _saved_splits(t: Tables) -> store.Dataset:
     saved = store.Dataset(t.spark, t.folder_for("splits"))
-    saved.save_splits(splits.split_windows(t.encoded, WINDOW, 0.1))
+    saved.save_splits(splits.split_pieces(t.encoded, WINDOW, 0.1), WINDOW)
     return saved
 
 

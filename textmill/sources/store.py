@@ -1,7 +1,7 @@
 """Saved datasets, tokenizers and models, as folders of tables.
 
-A dataset folder holds ``encoded``, ``splits`` (partitioned by split), ``vocab`` and
-``metadata``. Missing data or vocabulary is an error; missing metadata is an empty table.
+A dataset folder holds ``encoded``, ``splits`` (partitioned by split; each row's tokens once,
+windows are cut on reading), ``vocab`` and ``metadata``. Missing data or vocabulary is an error; missing metadata is an empty table.
 """
 
 from dataclasses import asdict, dataclass
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators.bigram import BigramModel
 from textmill.operators.bytepair import Merge, Tokenizer, encode
+from textmill.operators.splits import piece_windows
 
 METADATA_SCHEMA = (
     "dataset_name string, config struct<seq_length: int, validation_split: double, "
@@ -45,8 +46,10 @@ class Dataset:
     def save_encoded(self, encoded: DataFrame) -> None:
         encoded.write.mode("overwrite").parquet(f"{self.folder}/encoded")
 
-    def save_splits(self, sequences: DataFrame) -> None:
-        sequences.write.mode("overwrite").partitionBy("split").parquet(f"{self.folder}/splits")
+    def save_splits(self, pieces: DataFrame, length: int) -> None:
+        """Write the pieces of ``split_pieces``; windows would be ``length`` times the tokens."""
+        sized = pieces.withColumn("seq_length", F.lit(length))
+        sized.write.mode("overwrite").partitionBy("split").parquet(f"{self.folder}/splits")
 
     def save_vocabulary(self, vocabulary: DataFrame) -> None:
         # at most one small row per character
@@ -68,7 +71,9 @@ class Dataset:
         return self._spark.read.parquet(f"{self.folder}/encoded")
 
     def splits(self) -> DataFrame:
-        return self._spark.read.parquet(f"{self.folder}/splits")
+        """(key, start, input, target, split): all windows, cut from the stored pieces as they are read."""
+        pieces = self._spark.read.parquet(f"{self.folder}/splits")
+        return piece_windows(pieces, F.col("seq_length"), pieces.columns[0])
 
     def train_and_validation(self) -> tuple[DataFrame, DataFrame]:
         """Two scans, each of which reads one partition folder only."""
