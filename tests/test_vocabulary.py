@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.functions import tokens
 from textmill.operators import vocabulary as vo
 
 
@@ -59,3 +60,22 @@ def test_a_vocabulary_of_thirty_thousand_characters(docs):
     text = "".join(chars[::97]) + chr(0x102) + "a" + chr(0x30000)
     out = docs(text, None).orderBy("doc_id").select(vocabulary.encode(F.col("text")).alias("e")).collect()
     assert out[0].e == [*range(0, len(chars), 97), chars.index("a")] and out[1].e is None
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_join_moves_a_documents_distinct_characters_only(spark, docs, monkeypatch, limit):
+    monkeypatch.setattr(vo, "_BROADCAST_ROWS", limit)
+    # id 0xF6FE has the stand-in U+FEFF, a byte order mark
+    table = spark.range(0, 0xFF20).select(F.col("id").cast("int").alias("idx"), tokens.id_to_symbol(F.col("id") + 0x20).alias("ch"))
+    text = "".join(tokens.id_to_char(0x20 + k) for k in (0, 1, 0xF6FE, 0xD000)) + chr(0x1F600) + "\x00"
+    df = docs(text * 500, "zz", "\x00", "", None)
+    rows, joined = [], vo.lookup_join
+
+    def counted(big, *args, **kwargs):
+        rows.append(big.count())
+        return joined(big, *args, **kwargs)
+
+    monkeypatch.setattr(vo, "lookup_join", counted)
+    got = {r.doc_id: r.ids for r in vo.encode_by_join(df, table).collect()}
+    assert got == {0: [0, 1, 0xF6FE, 0xD000] * 500, 1: [90, 90], 2: [], 3: [], 4: None}
+    assert rows == ([] if limit else [8])
