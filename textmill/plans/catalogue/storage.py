@@ -258,7 +258,7 @@ def stream_clean_encode(t: Tables):
     tokenizer = t.tokenizer
     schema = t("documents").schema
     out = t.folder_for("stream")
-    arriving = arrivals.read_arrivals(t.spark, t.folder, schema, "documents.parquet")
+    arriving = arrivals.read_arrivals(t.spark, arrivals.table_path(f"{t.folder}/documents.parquet"), schema, "*")
     encoded = arrivals.clean_and_encode(arriving, tokenizer).select("doc_id", "ids")
     arrivals.write_available(encoded, out, t.folder_for("stream-state")).awaitTermination()
     return t.spark.read.parquet(out).select("doc_id", spaced("ids").alias("ids"))

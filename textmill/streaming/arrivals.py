@@ -25,6 +25,15 @@ def read_arrivals(
     )
 
 
+def table_path(path: str) -> str:
+    """The path of a stored table, one file or a folder of files, for ``read_arrivals``.
+
+    A stream reads folders and what a pattern finds, so the path is given as a pattern for itself.
+    """
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def clean_and_encode(
     arrivals: DataFrame, tokenizer: Tokenizer, options: CleanOptions = CleanOptions(), text: str = "text"
 ) -> DataFrame:
