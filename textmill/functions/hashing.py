@@ -9,7 +9,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textmill.functions.lambdas import let
+from textmill.functions.draws import are_below
 
 # 13 hex digits are 52 bits, which a double holds exactly.
 _HEX_DIGITS = 13
@@ -27,17 +27,9 @@ def uniform(seed: int, *keys: Column | str) -> Column:
 def below(share: float, seed: int, key: Column | str, values: Column) -> Column:
     """Per position of an array, whether ``uniform(seed, key, position)`` is below a share.
 
-    The draw is never made a number: digits of equal length compare as texts as the numbers
-    do, and what they have in common is put together once per row.
+    The digits are compared as whole numbers, so the draw is never made a double.
     """
-    limit = f"{math.ceil(min(max(share, 0.0), 1.0) * _SCALE):0{_HEX_DIGITS}x}"
-    if len(limit) > _HEX_DIGITS:
-        return F.transform(values, lambda _: F.lit(True))
-    head = F.concat_ws("|", F.lit(str(seed)), (F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))
-    return let(
-        head,
-        lambda h: F.transform(values, lambda _, i: F.md5(F.concat(h, i.cast("string"))) < F.lit(limit)),
-    )
+    return are_below(math.ceil(min(max(share, 0.0), 1.0) * _SCALE), seed, key, values)
 
 
 def gaussian(seed: int, *keys: Column | str) -> Column:

@@ -3,12 +3,13 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textmill.functions.draws import gaussians
 from textmill.functions.hashing import below, gaussian, uniform
 
 
 def add_noise(values: Column, key: str, level: float, seed: int) -> Column:
     """Array + N(0, level) per position."""
-    return F.transform(values, lambda x, i: x + gaussian(seed, key, i) * level)
+    return F.zip_with(values, gaussians(seed, key, values), lambda x, draw: x + draw * level)
 
 
 def add_noise_scalar(value: Column, key: str, level: float, seed: int) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import html as pages
-from textmill.functions.hashing import uniform
+from textmill.functions.hashing import below
 from textmill.functions.lambdas import let
 from textmill.operators.joins import lookup_join
 from textmill.sources.storage import cut_lineage, fits
@@ -218,13 +218,12 @@ def masked_rows(
 
     All other labels are ``ignore``, which a loss leaves out. Draws depend on key and position.
     """
-    drawn = F.transform(ids, lambda x, i: F.struct(x.alias("x"), (uniform(seed, key, i) < ratio).alias("hit")))
-    held = df.withColumn("__drawn", drawn)
+    held = df.withColumn("__hits", below(ratio, seed, key, F.col(ids)))
     return held.withColumn(
-        "input", F.transform("__drawn", lambda d: F.when(d["hit"], F.lit(mask_id)).otherwise(d["x"]))
+        "input", F.zip_with(ids, "__hits", lambda x, hit: F.when(hit, F.lit(mask_id)).otherwise(x))
     ).withColumn(
-        "labels", F.transform("__drawn", lambda d: F.when(d["hit"], d["x"]).otherwise(F.lit(ignore)))
-    ).drop("__drawn")
+        "labels", F.zip_with(ids, "__hits", lambda x, hit: F.when(hit, x).otherwise(F.lit(ignore)))
+    ).drop("__hits")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import tokens
+from textmill.functions.draws import uniforms
 from textmill.functions.hashing import uniform
 from textmill.operators.ranking import key_at_total, rejoin, running_total, running_totals
 from textmill.sources.storage import cut_lineage
@@ -134,10 +135,9 @@ def sample_blocks_once(
     Only (key, start) is ranked; each task keeps its own best ``count``. The token arrays
     are joined to the few chosen starts afterwards.
     """
-    starts = window_index(df, length, key, ids).select(key, "start")
-    chosen = (
-        starts.withColumn("u", uniform(seed, key, "start")).orderBy("u", key, "start").limit(count)
-    )
+    # a start is its own place among the starts of its row, so the draws go by place
+    drawn = uniforms(seed, key, tokens.window_starts(F.col(ids), length))
+    chosen = df.select(key, F.posexplode(drawn).alias("start", "u")).orderBy("u", key, "start").limit(count)
     # at most ``count`` rows
     small = F.broadcast(chosen) if count <= _BROADCAST_ROWS else chosen
     return df.select(key, ids).join(small, key).select(
