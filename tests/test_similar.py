@@ -147,3 +147,20 @@ def test_planes_follow_the_rows():
     for planes, tables in (few, many):
         same = (1 - np.arccos(0.9) / np.pi) ** planes
         assert 1 - (1 - same) ** tables >= 0.95
+
+
+def test_near_vectors_are_verified_in_their_buckets(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = np.repeat(rng.standard_normal((6, 12)), 50, axis=0) + rng.standard_normal((300, 12)) * 0.01
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(base)], "vec_id long, embedding array<double>")
+
+    def moved(*_):
+        raise AssertionError("vectors move once for each candidate")
+
+    monkeypatch.setattr(similar, "_beside", moved)
+    whole = {(r.a, r.b): r.cosine for r in similar.near_vectors(df).collect()}
+    # buckets of several chunks
+    monkeypatch.setattr(similar, "_CHUNK", 8)
+    assert whole == {(r.a, r.b): r.cosine for r in similar.near_vectors(df).collect()}
+    want = {(a, b) for a in range(300) for b in range(a + 1, 300) if a // 50 == b // 50}
+    assert set(whole) <= want and len(whole) > 0.95 * len(want)
