@@ -1,5 +1,7 @@
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +162,27 @@ def test_leakage(spark, sequences):
     assert got == {0: 2}
 
 
+def test_shared_runs_of_many_rows(spark, monkeypatch):
+    draw = random.Random(3)
+    rows = [[draw.choice((1, 2, 300 if k % 3 else 3, 70_000 if k % 7 == 0 else 4)) for _ in range(draw.choice((0, 4, 5, 90)))] for k in range(80)]
+    rows += [[7] * 500, [7] * 300, None]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, ids array<int>").repartition(3)
+    train, val = df.where("doc_id % 3 > 0"), df.where("doc_id % 3 = 0")
+    for length in (1, 5, 8):
+        runs = {k: {tuple(r[i : i + length]) for i in range(len(r) - length + 1)} for k, r in enumerate(rows) if r}
+        known = set().union(*(r for k, r in runs.items() if k % 3))
+        want = {k: len(r & known) for k, r in runs.items() if k % 3 == 0 and r & known}
+        assert {r.doc_id: r.shared for r in leakage.shared_runs(train, val, length).collect()} == want
+
+
+def test_shared_runs_travel_together():
+    # a text of one kind of token and one without order: far fewer tokens are sent than stand in the runs
+    ids = np.concatenate([np.full(20_000, 5), np.random.default_rng(1).integers(0, 40, 80_000)])
+    first, runs, bucket = leakage._stretches(ids, np.array([30_000, 100_000]), 24)
+    assert runs.sum() == 100_000 - 2 * 23 and (runs + 23).sum() < 24 * runs.sum() / 4
+    assert len(np.unique(bucket)) > 1000
+
+
 def test_prefix_mean_and_concat(spark, docs):
     df = spark.createDataFrame([(1, i, float(i)) for i in range(50)] + [(2, 50, 4.0)], "u long, e long, v double")
     got = {r.e: r.prefix_mean for r in sq.causal_prefix_mean(df, "u", "e", "v").collect()}
