@@ -2,6 +2,7 @@ from collections import Counter
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -226,3 +227,36 @@ def test_merging_a_chunk_follows_the_ranks(ids, merges):
     # a merge may only use ids that are older than its own
     if all(max(p) < 4 + r for r, p in enumerate(known)):
         assert bp.merge_chunk(list(ids), {p: r for r, p in enumerate(known)}, 4) == want
+
+
+def test_pairs_are_looked_for_where_their_symbols_stand():
+    draw = np.random.default_rng(5)
+    chunks = [list(draw.integers(0, 5, draw.integers(1, 9))) for _ in range(400)]
+    symbols = np.concatenate([np.array([*c, pair_training._END], np.int32) for c in chunks])
+    n, first = np.arange(1, 401), np.arange(400)
+    merges = [(0, 1), (2, 2), (6, 5), (7, 3)]
+    pending = [pair_training.Merge(k, *pair, 5 + k, 0) for k, pair in enumerate(merges)]
+    done = pair_training.merged(symbols, pending)
+    for pair in [(8, 0), (7, 4), (5, 5), (3, 3), (4, 8)]:
+        patterns = pair_training._written([pair], pending)
+        some, own_n, own_first = pair_training._with(symbols, n, first, patterns)
+        ends = np.flatnonzero(done == pair_training._END)
+        hold = set(np.searchsorted(ends, pair_training._hits(done, *pair)))
+        assert hold <= set(own_first) and (own_n == own_first + 1).all()
+        assert [x for k in own_first for x in (*chunks[k], pair_training._END)] == list(some)
+        # chunks without the symbols in a row are left out
+        text = bytes(patterns[0].tolist())
+        assert list(own_first) == [k for k, c in enumerate(chunks) if text in bytes(int(x) for x in c)]
+
+
+def test_places_as_longs_and_as_decimals(spark):
+    rows = [(7, "b a a"), (-3, "a c"), (2**40, "c d"), (None, "e a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert bp._first_key(df, "doc_id") is None
+    near = df.where("doc_id < 100 or doc_id is null")
+    low = bp._first_key(near, "doc_id")
+    assert low == -3
+    as_longs = bp.distinct_chunks(near, low=low)
+    assert dict(as_longs.dtypes) == dict(bp.distinct_chunks(near).dtypes)
+    assert sorted(map(str, as_longs.collect())) == sorted(map(str, bp.distinct_chunks(near).collect()))
+    assert "decimal" not in as_longs._jdf.queryExecution().toString()
