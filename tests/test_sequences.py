@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from textmill.functions import tokens
 from textmill.operators import augment, batches, leakage, ranking, sequences as sq, splits
+from textmill.plans.catalogue import QUERIES
+
+DOCUMENTS = "doc_id long, lang string, source string, text string"
 
 
 def test_windows_and_blocks(sequences):
@@ -235,3 +238,13 @@ def test_rows_without_a_group_are_kept(spark):
         assert own == " ".join(t for _, source, t, _ in rows if source == s)
     means = sq.causal_prefix_mean(df, "source", "doc_id", "value").collect()
     assert len(means) == 60 and all(r.prefix_mean == 1.0 for r in means)
+
+
+@pytest.mark.parametrize("name", ["seq_blocks", "seq_windows"])
+def test_ids_become_text_before_windows_are_cut(spark, tmp_path, name):
+    rows = spark.createDataFrame([(1, "en", "s", "a quick brown fox"), (2, "en", "s", "short")], DOCUMENTS)
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES[name](spark, str(tmp_path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join" not in plan and "as array<string>) AS ids" in plan
+    assert [r[1] for r in out.collect()] == [len("a quick brown fox") - 8]

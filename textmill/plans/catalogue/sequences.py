@@ -47,8 +47,8 @@ _LEADS_SQL = _sql_toks(_L)
     )})::BIGINT AS digest FROM leads WHERE x{_L} IS NOT NULL GROUP BY doc_id""",
 )
 def seq_windows(t: Tables):
-    out = sequences.windows(t.encoded, _L)
-    row = F.concat_ws("|", "start", spaced("input"), "target")
+    out = sequences.windows(t.named, _L)
+    row = F.concat_ws("|", "start", F.concat_ws(" ", "input"), "target")
     return out.groupBy("doc_id").agg(
         F.count("*").alias("windows"), F.sum(digest(row)).alias("digest")
     )
@@ -62,8 +62,8 @@ def seq_windows(t: Tables):
     )})::BIGINT AS digest FROM leads WHERE x{_L} IS NOT NULL GROUP BY doc_id""",
 )
 def seq_blocks(t: Tables):
-    out = sequences.blocks(t.encoded, _L)
-    row = F.concat_ws("|", "start", spaced("x"), spaced("y"))
+    out = sequences.blocks(t.named, _L)
+    row = F.concat_ws("|", "start", F.concat_ws(" ", "x"), F.concat_ws(" ", "y"))
     return out.groupBy("doc_id").agg(
         F.count("*").alias("blocks"), F.sum(digest(row)).alias("digest")
     )
