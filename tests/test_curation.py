@@ -88,6 +88,15 @@ def test_contamination(docs, monkeypatch, limit):
     assert {r.doc_id: r.shared for r in out.collect()} == {0: 2, 1: 2}
 
 
+@pytest.mark.parametrize("limit", [10, 0])
+def test_contamination_counts_repeats_once(docs, monkeypatch, limit):
+    monkeypatch.setattr(curation, "_BROADCAST_HASHES", limit)
+    out = curation.contamination(docs("a b c a b c a", "a b b"), docs("z a b c a"), 3)
+    # a distinct array of structs takes a time that grows with the square of the text
+    assert "array_distinct" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.doc_id: r.shared for r in out.collect()} == {0: 2}
+
+
 def test_divergence_from_the_corpus(docs):
     texts = ["a a b", "b c", "zz", "", None]
     counts = curation.word_counts(docs(*texts))

@@ -126,7 +126,10 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
 
 def _word_runs(text: Column, length: int) -> Column:
-    """The distinct runs of lower-case words, each as 128 bits of hashes."""
+    """The runs of lower-case words, repeats included, each as 128 bits of hashes.
+
+    Repeats stay, as Spark compares the structs of an array each with each to make them distinct.
+    """
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
 
     def hashed(found: Column) -> Column:
@@ -140,7 +143,7 @@ def _word_runs(text: Column, length: int) -> Column:
             ),
         )
 
-    return let(words, lambda found: F.array_distinct(hashed(found)))
+    return let(words, hashed)
 
 
 def contamination(
@@ -150,6 +153,7 @@ def contamination(
 
     Only 128 bits of each run are kept. The items' runs are counted and broadcast while they
     are few; beyond that the join is shuffled, and a run of very many rows is spread by key.
+    Repeats of a run in a row are told apart after the join, among the few that are shared.
     """
     held = cut_lineage(items.select(F.explode(_word_runs(F.col(text), length)).alias("r")).select("r.*").distinct(), "runs")
     asked = docs.select(key, F.explode(_word_runs(F.col(text), length)).alias("r")).select(key, "r.*")
@@ -157,7 +161,7 @@ def contamination(
         found = asked.join(F.broadcast(held), ["a", "b"], "left_semi")
     else:
         found = lookup_join(asked, held, ["a", "b"], [key], "left_semi")
-    return found.groupBy(key).agg(F.count("*").alias("shared"))
+    return found.select(key, "a", "b").distinct().groupBy(key).agg(F.count("*").alias("shared"))
 
 
 # --- web pages --------------------------------------------------------------------------
