@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from textmill.functions import html, personal, tokens
 from textmill.functions import text as tx
 from textmill.operators import curation
+from textmill.plans.catalogue import QUERIES
 
 
 def column(spark, values, kind, make):
@@ -97,6 +98,16 @@ def test_contamination_counts_repeats_once(docs, monkeypatch, limit):
     assert {r.doc_id: r.shared for r in out.collect()} == {0: 2}
 
 
+def test_perplexity_filter_scores_each_row_once(spark, tmp_path):
+    rows = [(k, "en", "s", text) for k, text in enumerate(["abab" * 20, "aabb" * 10, "", "z"])]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    out = QUERIES["perplexity_filter"](spark, str(tmp_path))
+    assert "aggregate(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.doc_id for r in out.collect()) == [0, 1]
+
+
 def test_divergence_from_the_corpus(docs):
     texts = ["a a b", "b c", "zz", "", None]
     counts = curation.word_counts(docs(*texts))
