@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textmill.operators import similar
 from textmill.operators.components import components
@@ -164,3 +165,16 @@ def test_near_vectors_are_verified_in_their_buckets(spark, monkeypatch):
     assert whole == {(r.a, r.b): r.cosine for r in similar.near_vectors(df).collect()}
     want = {(a, b) for a in range(300) for b in range(a + 1, 300) if a // 50 == b // 50}
     assert set(whole) <= want and len(whole) > 0.95 * len(want)
+
+
+def test_rows_to_pair_are_computed_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def value(k):
+        made.add(1)
+        return k // 2
+
+    pairs = similar.pairs_by_value(spark.range(10).select("id", value("id").alias("value")))
+    assert sorted((r.a, r.b) for r in pairs.collect()) == [(k, k + 1) for k in range(0, 10, 2)]
+    assert made.value == 10
