@@ -3,6 +3,7 @@ from collections import Counter
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -229,6 +230,41 @@ def test_merging_a_chunk_follows_the_ranks(ids, merges):
         assert bp.merge_chunk(list(ids), {p: r for r, p in enumerate(known)}, 4) == want
 
 
+@pytest.mark.parametrize("table", [0, 1 << 22])
+def test_many_chunks_are_merged_as_one_by_one(monkeypatch, table):
+    monkeypatch.setattr(bp, "_LONG", 40)
+    monkeypatch.setattr(bp, "_TABLE", table)
+    monkeypatch.setattr(bp, "_STRETCH", 100)
+    draw = np.random.default_rng(7)
+    merges, known = [], set()
+    while len(merges) < 30:
+        left, right = (int(x) for x in draw.integers(0, 4 + len(merges), 2))
+        if (left, right) not in known:
+            known.add((left, right))
+            merges.append(pair_training.Merge(len(merges), left, right, 4 + len(merges), 0))
+    chunks = [draw.integers(0, 4, n).tolist() for n in (*draw.integers(0, 30, 400), 200, 1, 0, 41)]
+    chunks += [[k] * n for k in range(4) for n in (2, 3, 4, 5, 39)]
+    symbols = np.array([x for c in chunks for x in c], np.int32)
+    for some in (merges, merges[:1], []):
+        ranks = bp._Ranks(some)
+        book, start, size = bp.merge_chunks(symbols, np.array([len(c) for c in chunks]), ranks)
+        got = [book[s : s + n].tolist() for s, n in zip(start, size, strict=True)]
+        assert got == [bp.merge_chunk(list(c), ranks.of, 4) for c in chunks]
+        order = draw.permutation(len(chunks))
+        assert bp._laid_out(book, start, size, order).tolist() == [x for k in order for x in got[k]]
+    assert [len(x) for x in bp.merge_chunks(symbols[:0], np.zeros(0, np.int64), ranks)] == [0, 0, 0]
+
+
+def test_a_task_keeps_no_chunks_between_batches(tokenizer):
+    encode = bp._chunk_ids(tokenizer).func
+    held = [c.cell_contents for c in encode.__closure__]
+    texts = [regex.findall(GPT4_CHUNKS, t) for t in FOX]
+    ids = encode(pa.array([texts[0], None, [], texts[2]])).to_pylist()
+    flat = [i for row in ids if row for i in row]
+    assert ids[1] is None and ids[2] == [] and flat == encode(pa.array([texts[0], texts[2]])).flatten().to_pylist()
+    assert held == [c.cell_contents for c in encode.__closure__] and not any(isinstance(x, dict) for x in held)
+
+
 def test_pairs_are_looked_for_where_their_symbols_stand():
     draw = np.random.default_rng(5)
     chunks = [list(draw.integers(0, 5, draw.integers(1, 9))) for _ in range(400)]
