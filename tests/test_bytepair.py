@@ -135,6 +135,21 @@ def test_smaller_tokenizer_is_a_prefix(docs, tokenizer):
     assert [r.tokens for r in rows] == direct
 
 
+def test_sizes_are_counted_by_distinct_chunks(docs, tokenizer):
+    texts = [*FOX, None, "", "a" * 300 + " " + "the fox " * 50]
+    table = bp.compare_sizes(docs(*texts), tokenizer, [300, 256, 257, 270, 400])
+    direct = [
+        sum(len(r.ids or []) for r in bp.encode(docs(*texts), tokenizer.first(n)).collect()) for n in (0, 1, 14, 44, 44)
+    ]
+    rows = table.collect()
+    assert [(r.target_vocab, r.actual_vocab, r.tokens) for r in rows] == list(
+        zip([256, 257, 270, 300, 400], [256, 257, 270, 300, 300], direct, strict=True)
+    )
+    # the texts are not rewritten once for each merge
+    assert "replace(" not in table._jdf.queryExecution().toString().lower()
+    assert [r.tokens for r in bp.compare_sizes(docs(None), tokenizer, [256, 300]).collect()] == [None, None]
+
+
 def test_compression_guards_empty_input(docs, tokenizer):
     row = bp.compression(bp.encode(docs(""), tokenizer)).first()
     assert (row.total_characters, row.total_tokens, row.compression_ratio, row.avg_chars_per_token) == (0, 0, 0, 0)
