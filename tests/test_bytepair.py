@@ -1,6 +1,7 @@
 from collections import Counter
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -270,14 +271,42 @@ def test_many_chunks_are_merged_as_one_by_one(monkeypatch, table):
     assert [len(x) for x in bp.merge_chunks(symbols[:0], np.zeros(0, np.int64), ranks)] == [0, 0, 0]
 
 
+def test_working_memory_follows_the_stretch_and_not_the_batch(tokenizer, monkeypatch):
+    rows = pa.array([[f"{k}", " the", "fox"] * (k % 4) if k % 7 else None for k in range(300)])
+    encode, count = bp._chunk_ids(tokenizer).func, bp._token_counts(tokenizer, [0, 44]).func
+    whole = encode(rows).to_pylist()
+    counts = [None if r is None else [sum(len(c) for c in r), len(i)] for r, i in zip(rows.to_pylist(), whole, strict=True)]
+    assert count(rows).to_pylist() == counts
+    seen, merge = [], bp.merge_chunks
+    monkeypatch.setattr(bp, "_STRETCH", 20)
+    monkeypatch.setattr(bp, "merge_chunks", lambda ids, size, ranks: seen.append(len(size)) or merge(ids, size, ranks))
+    assert encode(rows).to_pylist() == whole and count(rows).to_pylist() == counts
+    assert len(seen) > 20 and max(seen) <= 20 + 9
+    assert encode(rows[:0]).to_pylist() == [] and encode(rows[:1]).to_pylist() == [None]
+
+
+def test_blocks_of_a_batch_are_copied_one_at_a_time():
+    made = [pair_training._packed(np.arange(10_000, dtype=np.int32), np.arange(k), np.arange(2)) for k in range(50)]
+    batch = pa.Table.from_batches(made).combine_chunks().to_batches()[0]
+    tracemalloc.start()
+    for k, (symbols, n, first) in enumerate(pair_training._unpacked(iter([batch]))):
+        assert len(symbols) == 10_000 and n.tolist() == list(range(k)) and first.tolist() == [0, 1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * 40_000
+
+
 def test_a_task_keeps_no_chunks_between_batches(tokenizer):
     encode = bp._chunk_ids(tokenizer).func
-    held = [c.cell_contents for c in encode.__closure__]
+    def kept(f):
+        return [x for c in f.__closure__ or () for x in ([c.cell_contents] + (kept(c.cell_contents) if callable(c.cell_contents) else []))]
+
+    held = kept(encode)
     texts = [regex.findall(GPT4_CHUNKS, t) for t in FOX]
     ids = encode(pa.array([texts[0], None, [], texts[2]])).to_pylist()
     flat = [i for row in ids if row for i in row]
     assert ids[1] is None and ids[2] == [] and flat == encode(pa.array([texts[0], texts[2]])).flatten().to_pylist()
-    assert held == [c.cell_contents for c in encode.__closure__] and not any(isinstance(x, dict) for x in held)
+    assert held and held == kept(encode) and not any(isinstance(x, dict) for x in held)
 
 
 def test_pairs_are_looked_for_where_their_symbols_stand():
