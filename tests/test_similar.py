@@ -178,3 +178,22 @@ def test_rows_to_pair_are_computed_once(spark):
     pairs = similar.pairs_by_value(spark.range(10).select("id", value("id").alias("value")))
     assert sorted((r.a, r.b) for r in pairs.collect()) == [(k, k + 1) for k in range(0, 10, 2)]
     assert made.value == 10
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_minhash_pairs_have_all_rows_of_equal_sets(spark, monkeypatch, block):
+    monkeypatch.setattr(similar, "BLOCK", block)
+    draw = random.Random(7)
+    words = [f"w{k}" for k in range(500)]
+    out = {0: None, 1: "", 2: " ", 3: ""}
+    for copies in (1, 2, 9, 20):
+        base = [draw.choice(words) for _ in range(200)]
+        for text in (base, [*base, "one"], [*base, "more", "two"]):  # far above the threshold, so found for certain
+            for k in range(copies):
+                out[len(out)] = " ".join(text).upper() if k % 2 else " ".join(text)
+    sets = {k: slow_set(x) for k, x in out.items() if slow_set(x)}
+    want = {(a, b): (len(sets[a] & sets[b]), len(sets[a] & sets[b]) / len(sets[a] | sets[b])) for a, b in combinations(sorted(sets), 2)}
+    want = {pair: x for pair, x in want.items() if x[1] >= 0.8}
+    docs = spark.createDataFrame(list(out.items()), "doc_id long, text string")
+    got = similar.near_rows_minhash(docs).collect()
+    assert {(r.a, r.b): (r.common, r.similarity) for r in got} == want and len(got) == len(want) > 2000
