@@ -197,3 +197,26 @@ def test_minhash_pairs_have_all_rows_of_equal_sets(spark, monkeypatch, block):
     docs = spark.createDataFrame(list(out.items()), "doc_id long, text string")
     got = similar.near_rows_minhash(docs).collect()
     assert {(r.a, r.b): (r.common, r.similarity) for r in got} == want and len(got) == len(want) > 2000
+
+
+@pytest.mark.parametrize(("chunk", "block"), [(1024, 256), (16, 3)])
+def test_near_vector_rows_are_all_pairs_at_the_cosine(spark, monkeypatch, chunk, block):
+    monkeypatch.setattr(similar, "_CHUNK", chunk)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    draw = np.random.default_rng(8)
+    base = draw.standard_normal((40, 24))
+    rows = [v + 0.33 * draw.standard_normal(24) for v in base for _ in range(12)]  # many pairs just at the cosine
+    rows += [rows[0]] * 10 + [rows[1] * 2] * 3 + [np.zeros(24)] * 2
+    rows = [v.astype(np.float32) for v in rows]
+    data = [(k, [float(x) for x in v]) for k, v in enumerate(rows)] + [(9000, None), (9001, [float("nan")] * 24), (9002, [float("nan")] * 24)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    unit = np.array([v / np.linalg.norm(v) if v.any() else v for v in np.array(rows, float)])
+    want = {(a, b) for a, b in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.9, 1)), strict=True)}
+    got = similar.near_vector_rows(df).collect()
+    assert {(r.a, r.b) for r in got} == want and len(got) == len(want) > 500
+    assert all(abs(r.cosine - unit[r.a] @ unit[r.b]) < 1e-12 for r in got)
+    near = {(r.a, r.b) for r in similar.near_vectors(df).collect()}
+    assert {(a, b) for a, b in near} <= want
+    part = {(r.a, r.b) for r in similar.near_vectors(df, recall=0.9).collect()}
+    assert part <= near and len(part) > 0.8 * len(near)
+    assert similar.near_vector_rows(df.limit(0)).collect() == []
