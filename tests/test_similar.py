@@ -1,11 +1,12 @@
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textmill.operators import similar
+from textmill.operators import repeats, similar
 from textmill.operators.components import components
 from textmill.sources.storage import cut_lineage, remove, shared_folder
 
@@ -220,3 +221,42 @@ def test_near_vector_rows_are_all_pairs_at_the_cosine(spark, monkeypatch, chunk,
     part = {(r.a, r.b) for r in similar.near_vectors(df, recall=0.9).collect()}
     assert part <= near and len(part) > 0.8 * len(near)
     assert similar.near_vector_rows(df.limit(0)).collect() == []
+
+
+def test_values_that_occur_in_two_sets_are_marked(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "_PENDING", 700)
+    draw = np.random.default_rng(12)
+    pool = draw.integers(-(2**63), 2**63 - 1, 4000)
+    sets = {k: sorted({int(x) for x in draw.choice(pool, draw.integers(1, 60))}) for k in range(150)}
+    sets |= {500: sets[3], 501: [-1, 0, 1], 502: [-(2**63), 2**63 - 1]}
+    df = spark.createDataFrame(list(sets.items()), "id long, s array<long>").repartition(5)
+    counts = Counter(x for own in sets.values() for x in own)
+    found = {}
+    for r in repeats.repeats(df, "s", 0.0).collect():
+        assert r.n == len(sets[r.id])
+        found.setdefault(r.id, []).append(r.value)
+    for k, own in sets.items():
+        again = {x for x in own if counts[x] > 1}
+        assert again <= set(found.get(k, [])) <= set(own) and len(found.get(k, [])) == len(set(found.get(k, [])))
+    marked = sum(map(len, found.values()))
+    assert marked < 1.05 * sum(counts[x] > 1 for own in sets.values() for x in own)
+    few = {r.id for r in repeats.repeats(df, "s", 0.9).collect()}
+    assert 500 in few and 501 not in few and few < set(found)
+    assert repeats.repeats(df.limit(0), "s", 0.9).collect() == []
+
+
+def test_only_sets_that_can_be_near_are_taken_apart(spark, texts, monkeypatch):
+    draw = random.Random(13)
+    rows = dict(texts) | {1000 + k: " ".join(f"x{draw.randrange(10**9)}" for _ in range(200)) for k in range(100)}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    moved, join = [], similar.lookup_join
+
+    def spied(big, lookup, on, *rest, **named):
+        moved.append((on, big.count(), lookup.count()))
+        return join(big, lookup, on, *rest, **named)
+
+    monkeypatch.setattr(similar, "lookup_join", spied)
+    _, pairs = similar.near_classes(docs)
+    assert {(r.a, r.b) for r in pairs.collect()} == slow_near(texts)[1]
+    assert sum(n for on, n, _ in moved if on == ["value"]) < 10_000  # the others have about 20,000
+    assert all(n < 100 for on, _, n in moved if on in (["a"], ["b"]))
