@@ -12,7 +12,7 @@ import regex
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from textmill.functions.text import GPT4_CHUNKS
+from textmill.functions.text import GPT4_CHUNKS, chunks
 from textmill.operators import bytepair as bp
 from textmill.operators import pair_training
 from textmill.sources import store
@@ -108,6 +108,33 @@ def test_roundtrip_both_ways_of_encoding(docs, tokenizer):
     assert bp.roundtrip_failures(checked).count() == 0
 
 
+@pytest.mark.parametrize("stretch", [7, 1_000_000])
+def test_encoding_by_chunk_moves_distinct_chunks_of_stretches(spark, tokenizer, monkeypatch, stretch):
+    monkeypatch.setattr(bp, "_STRETCH", stretch)
+    rows = [(k, f"s{k}", TEXTS[k % len(TEXTS)] * 20 if k % 9 else None) for k in range(60)]
+    df = spark.createDataFrame([*rows, (None, "x", "hello"), (None, None, None)], "doc_id long, source string, text string").repartition(3)
+    moved, join = [], bp.lookup_join
+    monkeypatch.setattr(bp, "lookup_join", lambda big, *rest, **named: moved.append(big.count()) or join(big, *rest, **named))
+    found = bp.encode_by_chunk(df, tokenizer)
+    assert found.columns == ["doc_id", "source", "text", "ids"] and dict(found.dtypes)["ids"] == "array<int>"
+    got = {r.doc_id: (r.source, r.text, r.ids) for r in found.where("doc_id IS NOT NULL").collect()}
+    want = {r.doc_id: (r.source, r.text, r.ids) for r in bp.encode(df.where("doc_id IS NOT NULL"), tokenizer).collect()}
+    assert got == want and sorted(r.ids is None for r in found.where("doc_id IS NULL").collect()) == [False, True]
+    chunk_count = df.select(F.explode(chunks(F.col("text")))).count()
+    assert sum(moved) < chunk_count / (10 if stretch > 7 else 1)
+    narrow = bp.encode_by_chunk(df, tokenizer, keep_text=False)
+    assert narrow.columns == ["doc_id", "source", "ids"]
+    assert {r.doc_id: r.ids for r in narrow.where("doc_id IS NOT NULL").collect()} == {k: v[2] for k, v in want.items()}
+
+
+def test_rows_of_one_key_get_the_chunks_of_all_by_place(spark, tokenizer):
+    df = spark.createDataFrame([(1, "hello world"), (1, "hello world"), (1, None), (2, "other")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text, r.ids) for r in bp.encode_by_chunk(df, tokenizer).collect()), key=str)
+    a, b = ([r.ids for r in bp.encode(spark.createDataFrame([(x,)], "text string"), tokenizer).collect()][0] for x in ("hello", " world"))
+    other = bp.encode(spark.createDataFrame([("other",)], "text string"), tokenizer).first().ids
+    assert got == sorted([(1, "hello world", a + a + b + b)] * 2 + [(1, None, None), (2, "other", other)], key=str)
+
+
 def test_encode_equals_training_sequences(docs, tokenizer):
     _, seqs = train_in_memory(FOX, 44)
     encoded = bp.encode(docs(*FOX), tokenizer).orderBy("doc_id").collect()
