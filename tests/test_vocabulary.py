@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import tokens
 from textmill.operators import vocabulary as vo
+from textmill.plans.catalogue.base import Tables
 
 
 def test_build_is_in_code_point_order(docs):
@@ -79,3 +80,27 @@ def test_join_moves_a_documents_distinct_characters_only(spark, docs, monkeypatc
     got = {r.doc_id: r.ids for r in vo.encode_by_join(df, table).collect()}
     assert got == {0: [0, 1, 0xF6FE, 0xD000] * 500, 1: [90, 90], 2: [], 3: [], 4: None}
     assert rows == ([] if limit else [8])
+
+
+def test_ids_of_arrow_batches_equal_the_expression(spark):
+    texts = ["hello \u0000 wörld", "", None, "世界 мир 😀\n\u2028", "a😀b", "\ufeffx\r\n"] * 30
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    whole = vo.Vocabulary.build(df)
+    assert whole.chars == tuple(sorted({c for t in texts for c in t or ""}))
+    for known in (whole, vo.Vocabulary(whole.chars[::2]), vo.Vocabulary(tuple(chr(0x3000 + k) for k in range(1 << 15)))):
+        both = df.select(known.encode(F.col("text")).alias("a"), known.encode_batches(F.col("text")).cast("array<int>").alias("b")).collect()
+        assert all(r.a == r.b for r in both) and len(both) == len(texts)
+
+
+def test_characters_are_found_without_a_lambda_over_each(spark):
+    df = spark.createDataFrame([(1, "abc" * 1000)], "doc_id long, text string")
+    plan = vo.build_vocabulary(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and [r.ch for r in vo.build_vocabulary(df).collect()] == ["a", "b", "c"]
+
+
+def test_blocks_and_windows_take_ids_without_a_lambda_over_each(spark, tmp_path):
+    rows = [(k, "en", "s", f"text {k} ab") for k in range(5)]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    named = Tables(spark, str(tmp_path)).named
+    assert "lambda" not in named._jdf.queryExecution().optimizedPlan().toString()
+    assert dict(named.dtypes)["ids"] == "array<string>" and named.count() == 5
